@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from tidewire.llm.bpe import op3_bpe
 from tidewire.llm.packing import op1_packing
 
-QUERIES = {"op1_packing": op1_packing}
+QUERIES = {"op1_packing": op1_packing, "op3_bpe": op3_bpe}
 SQL: dict[str, str] = {}
