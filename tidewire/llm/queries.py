@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidewire.llm.bpe import op3_bpe
 from tidewire.llm.packing import op1_packing
+from tidewire.llm.pii import op6_pii
 
-QUERIES = {"op1_packing": op1_packing, "op3_bpe": op3_bpe}
+QUERIES = {"op1_packing": op1_packing, "op3_bpe": op3_bpe, "op6_pii": op6_pii}
 SQL: dict[str, str] = {}
