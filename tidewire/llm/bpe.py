@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import table
+from tidewire.llm.common import chunks, table
 
 #: Split rule of byte-level BPE (fixed value of the vocabulary's format).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -149,21 +149,6 @@ def model(path: str) -> TrieBpe:
     return _models[path]
 
 
-def _chunks(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of a batch, some ``chars`` at a time; a longer text comes alone."""
-    ids, texts, held = [], [], 0
-    for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        text = t.as_py() or ""
-        if texts and held + len(text) > chars:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-        ids.append(i)
-        texts.append(text)
-        held += len(text)
-    if texts:
-        yield ids, texts
-
-
 def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Per document: n_tokens, the ids (when ``keep_ids``, as ``ids``), digests of the ids and of the decoded text."""
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
@@ -173,7 +158,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
         bpe = model(tokenizer)
         for b in batches:
             rows = []
-            for doc_ids, texts in _chunks(b):
+            for doc_ids, texts in chunks(b):
                 for doc_id, ids in zip(doc_ids, bpe.encode_many(texts), strict=True):
                     row = (doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
                     rows.append(row + (list(memoryview(ids).cast("I")),) * keep_ids)

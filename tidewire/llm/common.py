@@ -8,7 +8,9 @@ more than once are cut with ``DataFrame.checkpoint`` into the folder of ``spark.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 def fold(column: str, n: int = 5):
     """crc32 of the id as text, modulo n; null ids fall into fold -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % F.lit(n), F.lit(-1))
+
+
+def chunks(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of a batch of (id, text), some ``chars`` at a time; a longer text comes alone, a null one is empty."""
+    ids, texts, held = [], [], 0
+    for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        text = t.as_py() or ""
+        if texts and held + len(text) > chars:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+        ids.append(i)
+        texts.append(text)
+        held += len(text)
+    if texts:
+        yield ids, texts

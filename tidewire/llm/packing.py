@@ -13,17 +13,19 @@ once per row; an empty table gives an empty result; equal lengths are taken in (
 
 from __future__ import annotations
 
+import itertools
 import math
 import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import cut, table
+from tidewire.llm.common import chunks, cut, table
 
 CAPACITY = 4096
 #: Tokens that one packing shard holds about: bounds a task's memory (some 20,000 documents).
@@ -31,17 +33,20 @@ SHARD_TOKENS = 4_000_000
 #: Pieces that one packing shard holds at most about, for inputs of very short texts.
 SHARD_PIECES = 50_000
 END_ID = 1
+#: Local search: steps in a shard whose rest goes on to the next round, and in the last one; bins and documents of a bin that a step looks at.
+ROUNDS, LAST_ROUNDS, SWAP_BINS, SWAP_ITEMS = 40, 400, 24, 16
 KEYS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: Words of the tokenizer's own split rule, for texts of Latin letters (fixed value: the file's pattern).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Beyond this many words the per-process cache starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
+CACHE_RUNS = 600_000
 
 
 class WordIds:
-    """Ids of whole texts as little-endian bytes. A word is encoded by the library once and then looked up.
+    """Ids of whole texts as little-endian bytes. Each run of non-space letters is encoded once and then looked up.
 
     Texts with characters beyond Latin Extended-A, or with special-token marks, go to the library whole."""
 
@@ -54,23 +59,57 @@ class WordIds:
         self.tok.no_padding()
         self.words = regex.compile(WORD_PATTERN).findall
         self.odd = regex.compile(r"[^\x09-\x0d\x20-\x7e\u00a1-\u012f\u0132-\u017f\u2010-\u2027]|<\|").search
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.known_words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    def _learn_words(self, new: list[str]) -> None:
+        """Encode words, many in one call with spaces between; every word ends in a token that ends a word."""
+        for k in range(0, len(new), 2000):
+            part = new[k : k + 2000]
+            ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(part):  # not so for some word: one call each
+                self.known_words.update((w, struct.pack(f"<{len(e.ids)}I", *e.ids)) for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True))
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(part, ends.tolist(), strict=True):
+                self.known_words[w] = raw[at:end]
+                at = end
+
+    def _learn(self, runs: list[str]) -> None:
+        words = self.known_words
+        split = [self.words(r) for r in runs]
+        new = {w for x in split for w in x} - words.keys()
+        if len(words) + len(new) > CACHE_WORDS:
+            words.clear()
+            new = {w for x in split for w in x}
+        self._learn_words(list(new))
+        self.known.update((r, b"".join([words[w] for w in x])) for r, x in zip(runs, split, strict=True))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(texts)
+        runs = {}
+        for i, text in enumerate(texts):
+            if self.odd(text):
+                ids = self.tok.encode(text, add_special_tokens=False).ids
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                runs[i] = unicodedata.normalize("NFC", text).lower().split()
+        known = self.known
+        new = set().union(*runs.values()) - known.keys()
+        if len(known) + len(new) > CACHE_RUNS:
+            known.clear()
+            new = set().union(*runs.values())
+        self._learn(list(new))
+        for i, x in runs.items():
+            out[i] = b"".join(map(known.__getitem__, x))
+        return out
+
     def __call__(self, text: str) -> bytes:
-        if self.odd(text):
-            ids = self.tok.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        words, known = self.words(unicodedata.normalize("NFC", text).lower()), self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-            return b"".join(map(known.__getitem__, words))
+        return self.many([text])[0]
 
 
 _encoders: dict[str, WordIds] = {}
@@ -89,12 +128,13 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
         encode, step, end = _encoder(tokenizer), 4 * capacity, struct.pack("<I", END_ID)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    for col, v in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        col.append(v)
+            for doc_ids, texts in chunks(b):
+                for doc_id, ids in zip(doc_ids, encode.many(texts), strict=True):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at : at + step]
+                        for col, v in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                            col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
@@ -163,59 +203,52 @@ class Bins:
         return True
 
     def _swap(self, b: int, others: list[int]) -> bool:
-        """Exchange one (or two) of b for one of a fuller bin c, so that c gains and stays within capacity."""
-        mine = sorted(self.items[b], key=lambda i: (-self.length[i], i))
-        pairs = [(self.length[x] + self.length[y], (x, y)) for k, x in enumerate(mine[:24]) for y in mine[k + 1 : 24]]
-        give = [(self.length[i], (i,)) for i in mine] + pairs
+        """Give one or two of b to a fuller bin c for one or two of c's, so that c gains most and stays within capacity.
+
+        c is at least as full as b, so whatever c gains raises the sum of squares."""
+        mine = sorted(self.items[b], key=lambda i: (-self.length[i], i))[:SWAP_ITEMS]
+        give = [(i,) for i in mine] + list(itertools.combinations(mine, 2))
+        out_size = np.array([sum(self.length[i] for i in g) for g in give])
         for c in others:
             free = self.capacity - self.fill[c]
-            if c == b or not free or not self.items[c]:
-                continue
-            best = None
-            theirs = sorted(self.items[c], key=lambda j: (self.length[j], j))[:64]
-            for size, out in give:
-                for back in theirs:
-                    gain = size - self.length[back]
-                    # c is at least as full as b, so any gain of c raises the sum of squares
-                    if 0 < gain <= free and self.fill[c] + gain > self.fill[b] and (best is None or gain > best[0]):
-                        best = (gain, out, (back,))
-                for k, x in enumerate(theirs[:16]):  # two of theirs for one of b
-                    for y in theirs[k + 1 : 16]:
-                        gain = size - self.length[x] - self.length[y]
-                        if len(out) == 1 and 0 < gain <= free and (best is None or gain > best[0]):
-                            best = (gain, out, (x, y))
-            if best:
-                _, out, back = best
-                self.change(b, out, back)
-                self.change(c, back, out)
+            theirs = sorted(self.items[c], key=lambda j: (self.length[j], j))[:SWAP_ITEMS]
+            back = [(j,) for j in theirs] + list(itertools.combinations(theirs, 2))
+            gain = out_size[:, None] - np.array([sum(self.length[j] for j in t) for t in back])[None, :]
+            gain[len(mine) :, len(theirs) :] = 0  # two for two is not among the exchanges
+            gain[(gain > free) | (gain <= 0)] = 0
+            at = int(gain.argmax())
+            if gain.flat[at]:
+                out, into = give[at // len(back)], back[at % len(back)]
+                self.change(b, out, into)
+                self.change(c, into, out)
                 return True
         return False
 
-    def improve(self, rounds: int = 400) -> None:
+    def improve(self, rounds: int) -> None:
         """Work on the emptiest bin: empty it into the others by moves and exchanges; stop when nothing improves.
 
-        Each step raises the sum of squared fills, so it ends; ``rounds`` bounds the time of one shard only,
-        never the rows it returns."""
+        Each step raises the sum of squared fills, so it ends; ``rounds`` and ``SWAP_BINS`` bound the time of
+        one shard only, never the rows it returns."""
         stuck: set[int] = set()
         for _ in range(rounds):
-            under = sorted((b for s in self.room for b in s if b not in stuck), key=lambda b: (self.fill[b], b))
-            if len(under) + len(stuck) < 2 or not under:
+            under = sorted((self.fill[b], b) for s in self.room for b in s)
+            b = next((b for _, b in under if b not in stuck), None)
+            if b is None or len(under) < 2:
                 return
-            b = under[0]
-            others = sorted((c for s in self.room for c in s if self.fill[c] >= self.fill[b] and c != b), key=lambda c: (-self.fill[c], c))[:200]
-            moved = any(self._move(b, i) for i in sorted(self.items[b], key=lambda i: (-self.length[i], i)))
-            if not moved and not self._swap(b, others):
-                stuck.add(b)
-            elif moved:
+            others = [c for f, c in reversed(under) if f >= self.fill[b] and c != b][:SWAP_BINS]
+            moved = any([self._move(b, i) for i in sorted(self.items[b], key=lambda i: (-self.length[i], i))])
+            if moved:
                 stuck.clear()
+            elif not self._swap(b, others):
+                stuck.add(b)
 
 
-def pack_lengths(length: list[int], capacity: int) -> list[list[int]]:
+def pack_lengths(length: list[int], capacity: int, rounds: int = 400) -> list[list[int]]:
     """Bins as lists of indexes. Every length is at most ``capacity``."""
     bins = Bins(length, capacity)
     for i in sorted(range(len(length)), key=lambda i: (-length[i], i)):
         bins.best_fit(i)
-    bins.improve()
+    bins.improve(rounds)
     return [sorted(x) for x in bins.items if x]
 
 
@@ -225,7 +258,7 @@ def _packer(level: int, last: bool, capacity: int, slack: int):
         length = pdf["length"].tolist()
         shard = int(key[0])
         sequence, offset = [0] * len(length), [0] * len(length)
-        for k, items in enumerate(pack_lengths(length, capacity)):
+        for k, items in enumerate(pack_lengths(length, capacity, LAST_ROUNDS if last else ROUNDS)):
             full = last or sum(length[i] for i in items) >= capacity - slack
             at = 0
             for i in items:
