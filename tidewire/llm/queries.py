@@ -7,6 +7,7 @@ from tidewire.llm.minhash import op4_minhash
 from tidewire.llm.packing import op1_packing
 from tidewire.llm.pii import op6_pii
 from tidewire.llm.quality import op8_quality
+from tidewire.llm.toxicity import op2_toxicity
 
-QUERIES = {"op1_packing": op1_packing, "op3_bpe": op3_bpe, "op4_minhash": op4_minhash, "op6_pii": op6_pii, "op8_quality": op8_quality}
+QUERIES = {"op1_packing": op1_packing, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_minhash": op4_minhash, "op6_pii": op6_pii, "op8_quality": op8_quality}
 SQL: dict[str, str] = {}
