@@ -16,7 +16,7 @@ can forge a mark; a conversation of system messages only has no perspective.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import table
@@ -72,8 +72,6 @@ def _with_starts(parts: DataFrame) -> DataFrame:
     sizes = parts.select("conv_id", "perspective", "part", "n_chars", F.floor(F.col("part") / SPAN).alias("span"))
     later = sizes.where("part > 0").select("conv_id", "perspective").distinct()
     sizes = sizes.join(later, ["conv_id", "perspective"], "left_semi")
-    from pyspark.sql import Window
-
     inner = Window.partitionBy("conv_id", "perspective", "span").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy("conv_id", "perspective").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = sizes.groupBy("conv_id", "perspective", "span").agg(F.sum("n_chars").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(outer), F.lit(0)))
@@ -98,13 +96,13 @@ shown AS (
     c.text || '<|im_end|>' AS body
   FROM clean c JOIN speakers s USING (conv_id)),
 placed AS (
-  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM shown),
 parts AS (
   SELECT conv_id, perspective, part, count(*) AS n_messages, CAST(sum(length(head) + length(body) + 1) AS BIGINT) AS n_chars,
     CAST(sum(CASE WHEN own THEN length(body) ELSE 0 END) AS BIGINT) AS n_loss_chars,
     string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
-    coalesce(string_agg(CAST(CAST(at + length(head) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(at + length(head) + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY turn, role, text) FILTER (WHERE own), '') AS mask
+    coalesce(string_agg(CAST(CAST(pos + length(head) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(pos + length(head) + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY turn, role, text) FILTER (WHERE own), '') AS mask
   FROM placed GROUP BY ALL)
 SELECT conv_id, perspective, part, n_messages, n_chars, n_loss_chars, text, mask,
   CAST(coalesce(sum(n_chars) OVER (PARTITION BY conv_id, perspective ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS part_start
