@@ -125,7 +125,7 @@ class TrieBpe:
         """Ids of whole texts, as little-endian unsigned 32-bit integers; one trie walk for all their new words."""
         split = [self._split(t) for t in texts]
         known = self.known
-        new = set().union(*split) - known.keys()
+        new = {w for w in set().union(*split) if w not in known}
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
             new = set().union(*split)

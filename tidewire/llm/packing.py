@@ -80,14 +80,27 @@ class WordIds:
                 at = end
 
     def _learn(self, runs: list[str]) -> None:
+        """Most runs are letters, perhaps with one other character at the end: these are words without a pattern search."""
         words = self.known_words
-        split = [self.words(r) for r in runs]
-        new = {w for x in split for w in x} - words.keys()
+        plain = [r for r in runs if r.isalpha()]
+        tail = [r for r in runs if not r.isalpha() and r[:-1].isalpha()]
+        rest = {r: self.words(r) for r in runs if not r.isalpha() and not r[:-1].isalpha()}
+        needed = set(plain)
+        needed.update(r[:-1] for r in tail)
+        needed.update(r[-1] for r in tail)
+        needed.update(*rest.values())
+        new = {w for w in needed if w not in words}
         if len(words) + len(new) > CACHE_WORDS:
             words.clear()
-            new = {w for x in split for w in x}
+            new = needed
         self._learn_words(list(new))
-        self.known.update((r, b"".join([words[w] for w in x])) for r, x in zip(runs, split, strict=True))
+        known = self.known
+        for r in plain:
+            known[r] = words[r]
+        for r in tail:
+            known[r] = words[r[:-1]] + words[r[-1]]
+        for r, x in rest.items():
+            known[r] = b"".join([words[w] for w in x])
 
     def many(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
@@ -99,7 +112,7 @@ class WordIds:
             else:
                 runs[i] = unicodedata.normalize("NFC", text).lower().split()
         known = self.known
-        new = set().union(*runs.values()) - known.keys()
+        new = {r for r in set().union(*runs.values()) if r not in known}
         if len(known) + len(new) > CACHE_RUNS:
             known.clear()
             new = set().union(*runs.values())
