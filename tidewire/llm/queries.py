@@ -6,6 +6,7 @@ from tidewire.llm.bpe import op3_bpe
 from tidewire.llm.chat import SQL as CHAT_SQL
 from tidewire.llm.chat import op5_chat
 from tidewire.llm.embedding_dedup import op10_embedding_dedup
+from tidewire.llm.hpylm import op7_lm
 from tidewire.llm.html_extract import op9_html
 from tidewire.llm.minhash import op4_minhash
 from tidewire.llm.packing import op1_packing
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_minhash": op4_minhash,
     "op5_chat": op5_chat,
     "op6_pii": op6_pii,
+    "op7_lm": op7_lm,
     "op8_quality": op8_quality,
     "op9_html": op9_html,
     "op10_embedding_dedup": op10_embedding_dedup,
