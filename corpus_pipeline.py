@@ -1,24 +1,84 @@
-"""Corpus pipeline over ``documents``; counted as part of the training-data subpackage."""
+"""Corpus pipeline over ``documents``: toxicity, quality rules, near-duplicates, personal data, packing.
+
+Counted as part of the training-data subpackage. Each stage takes (spark, docs, sf_dir) and works on all that its
+predecessor kept; all but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewire.llm.common import cut, shared_dir, spread
+from tidewire.llm.minhash import BROADCAST_IDS, near_duplicates
 from tidewire.llm.packing import pack, pieces
+from tidewire.llm.pii import redact_text
+from tidewire.llm.quality import cutoffs, judged, with_measures
+from tidewire.llm.toxicity import train, with_score
 
+#: Models that SQL cannot train stand in the first two stages; the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
 
 
-def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    docs = spread(docs)
+    return with_score(docs, train(docs, labels), score_col="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+
+
+def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base limits or a cutoff of their language go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    docs = spread(docs)
+    chosen = cutoffs(cut(with_measures(docs, ["doc_id", "lang"])), labels)
+    whole = with_measures(docs.select(F.struct(*docs.columns).alias("_row")), ["_row"], "_row.text")
+    return judged(whole, chosen, "_row.lang").where("kept").select("_row.*")
+
+
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays; of rows of one id, one."""
+    docs = spread(docs)
+    found = cut(near_duplicates(docs))
+    gone = found.where("not kept").select("doc_id").distinct()
+    few = gone.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    repeated = cut(found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind."""
+    return redact_text(spread(docs))
+
+
+def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of 4096."""
+    return pack(pieces(spread(docs.select("doc_id", "text")), public_tokenizers.path("word_bpe_49k.json")))
 
 
-STAGES = [("best-fit packing", stage_pack)]
+STAGES = [
+    ("toxicity", stage_toxicity),
+    ("quality rules", stage_quality),
+    ("MinHash near-dedup", stage_near_duplicates),
+    ("PII", stage_pii),
+    ("best-fit packing", stage_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return out
+        out.write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs
