@@ -6,10 +6,10 @@
 2. Texts with equal sets are one class; its smallest doc_id stands for it.
 3. Each bucket links its members to its smallest member only (rows grow with the members, not with pairs);
    these pairs are verified on full sets and joined to components.
-4. Buckets that still hold several components get every pair across components compared: small buckets by
-   pairs, larger ones in blocks of ``BLOCK`` members whose signatures are compared in numpy (a margin of six
-   standard deviations under 0.75) - exact for whatever shared a bucket, with no cap on its size. Those pairs
-   are verified on full sets too, and the components are taken over all links.
+4. Buckets that still hold several components get every pair across components looked at: small buckets by
+   pairs, larger ones in tasks of at most 2 * ``BLOCK`` members, where a pair whose signatures nearly agree (six
+   standard deviations under 0.75) is verified on the full sets at once, in the first band it shares; only links
+   leave a task. This is exact for whatever shared a bucket, with no cap on its size.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing; repeated
 rows give repeated results; rows of one doc_id take their smallest component; a null doc_id is its own, unlinked.
@@ -31,7 +31,7 @@ from tidewire.llm.components import components
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
-SMALL, BLOCK = 24, 256
+SMALL, BLOCK = 24, 512
 #: Share of equal signature bytes below which a pair is not verified: 0.75 less six standard deviations.
 SIGNATURE_FLOOR = 0.75 - 6 * (0.75 * 0.25 / HASHES) ** 0.5
 #: Up to this many ids are broadcast to pick their texts; more are joined by a shuffle.
@@ -68,7 +68,7 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
         return np.empty(0, _U)
     if len(found) < words:
         return np.array([xxhash.xxh64_intdigest(b" ".join(found), len(found))], _U)
-    new = set(found) - _known.keys()
+    new = {w for w in found if w not in _known}
     if new:
         if len(_known) + len(new) > CACHE_WORDS:
             _known.clear()
@@ -139,8 +139,17 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union.
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """100 * intersection >= PERCENT * union, on full sets."""
+    small, large = sorted((len(x), len(y)))
+    if not small or 100 * small < PERCENT * large:
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= PERCENT * (len(x) + len(y) - shared)
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar enough.
 
     b's set travels once a pair; a's, which may be the head of very many pairs, once per salt."""
     p = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
@@ -151,41 +160,53 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
         for batch in batches:
             keep = []
             for sa, sb in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(sa.as_py(), _U), np.frombuffer(sb.as_py(), _U)
-                shared = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
-                keep.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
+                keep.append(_linked(np.frombuffer(sa.as_py(), _U), np.frombuffer(sb.as_py(), _U)))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(key, pdf):
-    """Pairs of different components between two blocks of one bucket whose signatures nearly agree."""
-    lo, hi = int(key[1]), int(key[2])
+def _block_links(key, pdf):
+    """Links between strays and members of one block of a bucket, verified on full sets.
+
+    A pair is looked at in the first band that it shares only; what a link has joined here needs no second link."""
+    ids, comp, stray = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["stray"].to_numpy()
     sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
-    ids, comp, block = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["block"].to_numpy()
-    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    keys = np.array(pdf["keys"].tolist(), dtype=np.int64)
+    sets = [np.frombuffer(x, _U) for x in pdf["s"]]
+    home, strays = np.flatnonzero(pdf["place"] == 0), np.flatnonzero(pdf["place"] == 1)
     a, b = [], []
-    for i in left:
-        near = right[(comp[right] != comp[i]) & ((sig[right] == sig[i]).mean(axis=1) >= SIGNATURE_FLOOR)]
-        near = near[ids[near] > ids[i]] if lo == hi else near
-        a += [min(ids[i], x) for x in ids[near]]
-        b += [max(ids[i], x) for x in ids[near]]
+    for i in strays:
+        far = home[(comp[home] != comp[i]) & (~stray[home] | (ids[home] > ids[i]))]
+        far = far[(sig[far] == sig[i]).mean(axis=1) >= SIGNATURE_FLOOR]
+        same = keys[far] == keys[i]
+        for j in far[keys[i][same.argmax(axis=1)] == key[0]]:
+            if comp[i] != comp[j] and _linked(sets[i], sets[j]):
+                a.append(min(ids[i], ids[j]))
+                b.append(max(ids[i], ids[j]))
+                comp[comp == comp[j]] = comp[i]
     return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
-def _across(members: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no component, of members (bucket, id)."""
+def _across(members: DataFrame, comp: DataFrame, sigs: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
+    """Links (a, b) between components that share a bucket, of members (bucket, id).
+
+    Strays are a bucket's members outside its most frequent component: every pair that is still open has one."""
     m = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = m.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    m = cut(m.join(mixed.select("bucket", "n"), "bucket"))
+    by_comp = m.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = by_comp.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    m = cut(m.join(mixed.select("bucket", "n", F.col("most.component").alias("main"), (F.col("n") - F.col("most.n")).alias("strays")), "bucket"))
     few = m.where(f"n <= {SMALL}").groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("id", "component"))).alias("x"))
     few = few.select(F.explode(F.flatten(F.transform("x", lambda p: F.transform(F.filter("x", lambda q: (q["id"] > p["id"]) & (q["component"] != p["component"])), lambda q: F.struct(p["id"].alias("a"), q["id"].alias("b")))))).alias("p")).select("p.a", "p.b")
-    many = m.where(f"n > {SMALL}").join(sigs.select(F.col("doc_id").alias("id"), "sig"), "id")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    many = many.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    many = many.groupBy("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).applyInPandas(_block_pairs, "a long, b long")
-    return few.unionByName(many).distinct()
+    few = verified(few.distinct().join(tested, ["a", "b"], "left_anti"), sets)
+    many = m.where(f"n > {SMALL}").withColumn("stray", F.col("component") != F.col("main"))
+    many = many.join(sigs.select(F.col("doc_id").alias("id"), "sig", "keys"), "id").join(sets, "id")
+    homes, parts = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("strays") / BLOCK)
+    deal = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    home = many.withColumn("place", F.lit(0)).withColumn("home", F.pmod(F.xxhash64("id"), homes)).withColumn("part", deal(parts))
+    strays = many.where("stray").withColumn("place", F.lit(1)).withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), parts)).withColumn("home", deal(homes))
+    dealt = home.unionByName(strays).select("bucket", "home", "part", "place", "id", "component", "stray", "sig", "keys", "s")
+    return few.unionByName(dealt.groupBy("bucket", "home", "part").applyInPandas(_block_links, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,8 +222,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = cut(members.where("id > head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
     sets = cut(_sets(docs, members.select("id").distinct(), id_col, text_col))
     links = cut(verified(stars, sets))
-    more = _across(members.select("bucket", "id").distinct(), components(links), reps.dropDuplicates(["doc_id"])).join(stars, ["a", "b"], "left_anti")
-    links = cut(links.unionByName(verified(more, sets)))
+    more = _across(members.select("bucket", "id").distinct(), components(links), reps.dropDuplicates(["doc_id"]), sets, stars)
+    links = cut(links.unionByName(more))
     comp = components(links)
     # rows of one doc_id with different texts take the smallest of their components
     own = full.join(classes, "set_key").select("doc_id", "rep")
