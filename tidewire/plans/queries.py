@@ -1,5 +1,571 @@
-"""Registered queries of the reference operators."""
+"""Registered queries of the reference operators: name -> (spark, sf_dir) -> DataFrame, over whole tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.functions import text as X
+from tidewire.operators import clean as C
+from tidewire.operators import dedup as D
+from tidewire.operators import evaluation as E
+from tidewire.operators import export as O
+from tidewire.operators import ingest as I
+from tidewire.operators import issues as S
+from tidewire.operators import keywords as K
+from tidewire.operators import profile as P
+from tidewire.operators import sentences as N
+from tidewire.operators import vectors as V
+from tidewire.operators.graph import components, star_groups
+from tidewire.plans import views
+from tidewire.plans.views import articles, issue, table
+from tidewire.sources.tables import upsert_rows
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _comparable(spark: SparkSession, sf: str) -> DataFrame:
+    return D.comparable(articles(spark, sf).select("article_id", "content", "published_at"))
+
+
+def _survivors(spark: SparkSession, sf: str) -> DataFrame:
+    able = _comparable(spark, sf)
+    return able.join(D.exact_duplicates(able).where("article_id = representative").select("article_id"), "article_id", "left_semi")
+
+
+# -- duplicates ----------------------------------------------------------------------------------------------------
+@query
+def dup_exact_fold(spark, sf):
+    return D.exact_fold(articles(spark, sf))
+
+
+@query
+def dup_exact_stats(spark, sf):
+    return D.window_counts(D.exact_fold(articles(spark, sf))).select("articles", "kept", "folded", "by_sha256")
+
+
+@query
+def dup_counts(spark, sf):
+    return D.exact_fold(articles(spark, sf)).groupBy("duplicate_count").agg(F.count("*").alias("n"))
+
+
+@query
+def dup_eligible(spark, sf):
+    return _comparable(spark, sf).select("article_id", F.length("text").alias("len"))
+
+
+@query
+def dup_shingle_count(spark, sf):
+    return articles(spark, sf).select("article_id", F.size(X.shingles(F.col("content"))).alias("n"))
+
+
+@query
+def dup_jaccard_pairs(spark, sf):
+    return D.jaccard_pairs(_survivors(spark, sf), 0.7).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query
+def dup_containment_pairs(spark, sf):
+    return D.containment_pairs(_survivors(spark, sf), 0.9, min_len=300).select("a", "b", F.round("containment", 6).alias("containment"))
+
+
+def _pairs(spark, sf):
+    return D.jaccard_pairs(_survivors(spark, sf), 0.7).select("a", "b")
+
+
+@query
+def dup_tfidf_cosine_pairs(spark, sf):
+    docs, pairs = _survivors(spark, sf), _pairs(spark, sf)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("article_id")).distinct()
+    weights = D.tfidf(docs.join(ids, "article_id", "left_semi"))
+    return D.pair_cosine(pairs, weights).select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
+@query
+def dup_verified_method(spark, sf):
+    return D.verified_pairs(_pairs(spark, sf), _survivors(spark, sf))
+
+
+@query
+def dup_components(spark, sf):
+    return components(_pairs(spark, sf))
+
+
+@query
+def dup_representative(spark, sf):
+    comp = components(_pairs(spark, sf))
+    a = articles(spark, sf).select(F.col("article_id").alias("id"), "published_at", (-F.length("content")).alias("len"))
+    return comp.join(a, "id").groupBy("component").agg(F.min(F.struct("published_at", "len", "id")).alias("r"), F.count("*").alias("members")).select("component", F.col("r.id").alias("representative"), "members")
+
+
+@query
+def dup_star_groups(spark, sf):
+    order = articles(spark, sf).select(F.col("article_id").alias("id"), F.struct("published_at", (-F.length("content")).alias("len"), "article_id").alias("k"))
+    return star_groups(_pairs(spark, sf), order)
+
+
+@query
+def dup_fold(spark, sf):
+    return D.fold(articles(spark, sf).select("article_id", "content", "published_at"))
+
+
+@query
+def dup_minhash_signatures(spark, sf):
+    return D.minhash_signatures(_survivors(spark, sf)).select("article_id", "text_sha1", "shingle_count", F.size("hashvalues").alias("hashes"))
+
+
+@query
+def dup_banded_recall(spark, sf):
+    """Pairs of banded buckets that exact Jaccard confirms, and its own."""
+    docs = _survivors(spark, sf)
+    exact = D.jaccard_pairs(docs, 0.7).select("a", "b")
+    banded = components(D.banded_pairs(D.minhash_signatures(docs)))
+    c = banded.select(F.col("id").alias("a"), F.col("component").alias("ca")), banded.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    both = exact.join(c[0], "a", "left").join(c[1], "b", "left")
+    return both.agg(F.count("*").alias("exact"), F.count(F.when(F.col("ca") == F.col("cb"), 1)).alias("found"))
+
+
+# -- ingest --------------------------------------------------------------------------------------------------------
+@query
+def url_normalize(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.normalize_url(F.col("url")).alias("url"))
+
+
+@query
+def url_article_id(spark, sf):
+    host = F.regexp_extract("url", r"\Ahttps?://([^/?#]+)", 1)
+    return table(spark, sf, "pages").select("page_id", X.article_id(host, F.col("url")).alias("article_id"))
+
+
+@query
+def url_dup_links(spark, sf):
+    return P.repeated(table(spark, sf, "pages").select(X.normalize_url(F.col("url")).alias("url")), "url")
+
+
+def _raw_records(spark, sf):
+    """documents as raw JSON records, with faults by doc_id: a blank title, a naive time, an unknown source, a blank author,
+    a number for a language, a missing category."""
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    k = F.col("doc_id") % 10
+    rec = F.struct(
+        F.lit("1.0").alias("schema_version"), F.format_string("a%09d", "doc_id").alias("article_id"), F.col("source").alias("publisher_id"), F.col("source").alias("company"),
+        F.when(k == 3, "FAX").otherwise("RSS").alias("source_type"), F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string")).alias("link"),
+        F.when(k == 1, "  ").otherwise("t").alias("title"), F.col("text").alias("article"), F.when(k == 4, " ").otherwise("r").alias("reporter"),
+        F.when(k != 6, F.col("lang")).alias("category"), F.col("lang").alias("language"),
+        F.when(k == 2, "2024-01-01T00:00:00").otherwise("2024-01-01T08:30:00+09:00").alias("published"),
+    )
+    return d.select(F.to_json(rec).alias("record"), F.format_string("f:%09d", "doc_id").alias("source_ref"), "doc_id")
+
+
+@query
+def ing_validate(spark, sf):
+    v = I.validate(_raw_records(spark, sf))
+    return v.select("doc_id", "error", "author", "publisher_name", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("published"))
+
+
+@query
+def ing_gold_rows(spark, sf):
+    v = I.gold_rows(I.validate(_raw_records(spark, sf)).where("error is null"))
+    return v.select("article_id", "published_date", "content_len", "article_id_verified")
+
+
+@query
+def ing_batch_dedup(spark, sf):
+    e = table(spark, sf, "events").select(F.col("user_id").alias("article_id"), "event_id", "event_type")
+    return I.first_in_batch(e, "event_id").select("article_id", "event_id", "event_type")
+
+
+def _halves(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    old = d.where("doc_id % 3 <> 0").select("doc_id", F.col("source").alias("version"), F.lit("2024-01-01").alias("published_date"))
+    new = d.where("doc_id % 2 = 0").select("doc_id", F.lit("new").alias("version"), F.lit("2024-01-02").alias("published_date"))
+    return old, new
+
+
+@query
+def ing_upsert_keep(spark, sf):
+    return upsert_rows(*_halves(spark, sf), "keep", "doc_id")
+
+
+@query
+def ing_upsert_replace(spark, sf):
+    return upsert_rows(*_halves(spark, sf), "replace", "doc_id")
+
+
+@query
+def ing_stats(spark, sf):
+    return I.ingest_stats(I.validate(_raw_records(spark, sf)), articles(spark, sf).where("doc_id % 5 = 0").select("article_id"))
+
+
+@query
+def ing_window_scan(spark, sf):
+    return articles(spark, sf).where("published_date between '2024-01-01' and '2024-01-02'").groupBy("published_date").agg(F.count("*").alias("n"))
+
+
+# -- cleaning ------------------------------------------------------------------------------------------------------
+@query
+def cln_whitespace(spark, sf):
+    return articles(spark, sf).select("article_id", C.normalize_whitespace(F.col("content")).alias("text"))
+
+
+@query
+def cln_line_filter(spark, sf):
+    return articles(spark, sf).select("article_id", C.drop_lines(F.col("content"), r"\|").alias("text"))
+
+
+@query
+def cln_status(spark, sf):
+    cleaned = C.normalize_whitespace(F.col("content"))
+    return articles(spark, sf).groupBy(C.status(cleaned).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query
+def cln_clean(spark, sf):
+    return C.clean(articles(spark, sf)).select("article_id", "content_clean_len", "clean_status", "removed_chars", F.array_join("rules_applied", ",").alias("rules"))
+
+
+@query
+def cln_rule_hits(spark, sf):
+    return C.rule_hits(C.clean(articles(spark, sf)))
+
+
+# -- sentences -----------------------------------------------------------------------------------------------------
+def _sentences(spark, sf):
+    return N.explode_sentences(articles(spark, sf), "content", "article_id", "publisher_name", "category")
+
+
+@query
+def sen_split(spark, sf):
+    return _sentences(spark, sf).select("article_id", "pos", "sentence")
+
+
+@query
+def sen_turns(spark, sf):
+    return N.explode_sentences(table(spark, sf, "conversations"), "text", "conv_id", "turn").groupBy("conv_id").agg(F.count("*").alias("sentences"))
+
+
+@query
+def sen_quotes(spark, sf):
+    return articles(spark, sf).select("article_id", F.explode(X.quotes(F.col("content"))).alias("quote"))
+
+
+@query
+def sen_speech_type(spark, sf):
+    return _sentences(spark, sf).groupBy(F.coalesce(X.speech_type(F.col("sentence")), F.lit("none")).alias("speech")).agg(F.count("*").alias("n"))
+
+
+@query
+def sen_opinion_filter(spark, sf):
+    return N.without_opinions(_sentences(spark, sf)).groupBy("article_id").agg(F.count("*").alias("n"))
+
+
+@query
+def sen_evidence_sources(spark, sf):
+    return N.evidence(_sentences(spark, sf), "category").where("publishers >= 2").select("category", "sentence", "publishers", F.size("sources").alias("articles"))
+
+
+@query
+def fct_numbers(spark, sf):
+    return articles(spark, sf).select("article_id", F.array_join(X.fact_numbers(F.col("content")), "|").alias("numbers"))
+
+
+@query
+def fct_cross_validated(spark, sf):
+    return N.cross_validated(N.evidence(_sentences(spark, sf), "category"), "category").select("category", "sentence", "publishers", "rank")
+
+
+# -- vectors, quality, placement -----------------------------------------------------------------------------------
+@query
+def vec_norm(spark, sf):
+    return issue(spark, sf).select("article_id", F.round(V.norm(F.col("vector")), 6).alias("norm"))
+
+
+@query
+def vec_centroid(spark, sf):
+    c = V.centroids(issue(spark, sf).where("issue_local >= 0"), "issue_local")
+    return c.select("issue_local", F.posexplode("centroid").alias("d", "x")).select("issue_local", "d", F.round("x", 6).alias("x"))
+
+
+@query
+def vec_nearest(spark, sf):
+    i = issue(spark, sf)
+    return V.nearest(i, V.centroids(i.where("issue_local >= 0"), "issue_local"), "issue_local", -1.0).select("article_id", "issue_local", F.round("sim", 6).alias("sim"))
+
+
+@query
+def vec_topk_pairs(spark, sf):
+    return V.pairs_above(table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), F.col("embedding").alias("vector"), "label"), "label", 0.3).select("a", "b", F.round("sim", 6).alias("sim"))
+
+
+@query
+def emb_encode(spark, sf):
+    a = articles(spark, sf).withColumn("input", V.encoder_input(F.col("title"), F.col("content")))
+    return V.encode(a.select("article_id", "input")).select("article_id", "dim", "model", F.round(V.norm(F.col("vector")), 4).alias("norm"))
+
+
+@query
+def emb_input(spark, sf):
+    text = V.encoder_input(F.col("title"), F.col("content"))
+    return articles(spark, sf).select("article_id", V.input_digest(text).alias("input_sha1"), F.length(text).alias("len"))
+
+
+@query
+def emb_plan(spark, sf):
+    a = articles(spark, sf).withColumn("input_sha1", F.sha1("content"))
+    old = a.where("doc_id % 4 <> 0").select("article_id", F.when(F.col("doc_id") % 5 == 0, F.lit("x")).otherwise(F.col("input_sha1")).alias("input_sha1"), F.when(F.col("doc_id") % 7 == 0, "m0").otherwise("m1").alias("model"))
+    return V.embedding_plan(a.where("doc_id % 6 <> 1"), old, "m1").groupBy("action").agg(F.count("*").alias("n"))
+
+
+@query
+def clu_sizes(spark, sf):
+    return S.with_sizes(issue(spark, sf).select("article_id", "issue_local")).groupBy("issue_local").agg(F.max("issue_size").alias("issue_size"), F.count("*").alias("n"))
+
+
+@query
+def qlt_structured(spark, sf):
+    return S.structured_issues(issue(spark, sf))
+
+
+LOW = S.QualityConfig(rescue_sim=0.1, assign_sim=0.1)
+
+
+@query
+def qlt_rescue(spark, sf):
+    i = issue(spark, sf)
+    return S.qualify(i, i, LOW).select("article_id", "issue_local", "issue_size", "structured", "rescued", F.round("rescue_sim", 6).alias("rescue_sim"))
+
+
+@query
+def asg_place(spark, sf):
+    i = issue(spark, sf)
+    return S.assign(i.where("article_id % 5 <> 0"), i, LOW).select("article_id", "issue_local", "issue_size")
+
+
+# -- succession ----------------------------------------------------------------------------------------------------
+def _windows(spark, sf):
+    i = issue(spark, sf).select("article_id", "published_date", "issue_local")
+    prev = i.where("issue_local >= 0 and article_id % 3 <> 0").select("article_id", (F.col("issue_local") + F.when(F.col("article_id") % 11 == 0, 1).otherwise(0) + 100).cast("long").alias("issue_id"))
+    now = i.withColumn("issue_local", F.when(F.col("issue_local") < 0, -1).otherwise(F.col("issue_local") * 2 + (F.col("article_id") % 4 == 0).cast("int")).cast("int"))
+    return now, prev
+
+
+@query
+def suc_votes(spark, sf):
+    now, prev = _windows(spark, sf)
+    return S.votes(now, S.previous_ids(prev, None)).select("issue_local", "prev_id", "shared")
+
+
+@query
+def suc_winner(spark, sf):
+    now, prev = _windows(spark, sf)
+    return S.winners(S.votes(now, S.previous_ids(prev, None)))
+
+
+@query
+def suc_split(spark, sf):
+    now, prev = _windows(spark, sf)
+    return S.split_claims(S.winners(S.votes(now, S.previous_ids(prev, None))))
+
+
+@query
+def suc_mint(spark, sf):
+    now, prev = _windows(spark, sf)
+    return S.succeed(now, prev, None, 500).groupBy("issue_local", "issue_id", "status").agg(F.count("*").alias("members"))
+
+
+@query
+def suc_retired(spark, sf):
+    now, prev = _windows(spark, sf)
+    return S.retired(prev, S.split_claims(S.winners(S.votes(now, S.previous_ids(prev, None)))))
+
+
+# -- feed ----------------------------------------------------------------------------------------------------------
+def _members(spark, sf):
+    i = issue(spark, sf)
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit(views.START)) + (F.col("article_id") * 37 % 1000) * 60)
+    cat = F.element_at(F.array(F.lit("정치"), F.lit("산업"), F.lit("IT과학"), F.lit(""), F.lit("문화")), (F.col("article_id") * 7 % 5 + 1).cast("int"))
+    return i.withColumn("published_at", at).withColumn("category", cat).withColumn("structured", F.lit(False))
+
+
+@query
+def fed_rollup(spark, sf):
+    m = _members(spark, sf).where("issue_local >= 0")
+    return m.groupBy("issue_local").agg(F.count("*").alias("issue_size"), F.countDistinct("publisher_id").alias("publishers"), F.date_format(F.min("published_at"), "yyyy-MM-dd HH:mm").alias("first"), F.date_format(F.max("published_at"), "yyyy-MM-dd HH:mm").alias("last"))
+
+
+@query
+def fed_representative(spark, sf):
+    return S.representatives(_members(spark, sf).where("issue_local >= 0"))
+
+
+@query
+def fed_category_majority(spark, sf):
+    m = _members(spark, sf).where("issue_local >= 0")
+    fallback = m.groupBy("issue_local").agg(F.min_by("category", "article_id").alias("fallback"))
+    return S.majority_category(m, fallback)
+
+
+@query
+def fed_hot_score(spark, sf):
+    m = _members(spark, sf)
+    return S.summarize(m, m, m, None).select("issue_local", "issue_size", "publishers", "representative", "category", "hot_score", "issue_id")
+
+
+@query
+def fed_topk(spark, sf):
+    """A top-k report: the five hottest issues."""
+    m = _members(spark, sf)
+    return S.summarize(m, m, m, None).orderBy(F.desc("hot_score"), "issue_local").limit(5).select("issue_local", "hot_score")
+
+
+# -- keywords, titles ----------------------------------------------------------------------------------------------
+def _stances(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    stance = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    return articles(spark, sf).join(lab.select("doc_id", stance.alias("stance")), "doc_id").select("article_id", F.col("category"), "stance", "content")
+
+
+@query
+def key_contrastive_terms(spark, sf):
+    return K.contrastive(_stances(spark, sf), "category", K.tokens(F.col("content"))).drop("score")
+
+
+@query
+def key_contrastive_bigrams(spark, sf):
+    return K.contrastive(_stances(spark, sf), "category", K.bigrams(K.tokens(F.col("content")))).drop("score")
+
+
+@query
+def evt_medoid_title(spark, sf):
+    return K.central_titles(articles(spark, sf).select(F.col("publisher_id"), F.col("doc_id").alias("place"), "title"), "publisher_id")
+
+
+# -- evaluation ----------------------------------------------------------------------------------------------------
+def _labelers(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), "label")
+    return e.select("article_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("labeler"), "label").withColumn("cluster", F.when((F.col("article_id") * F.col("labeler")) % 13 == 0, F.col("article_id") + 1000).otherwise(F.col("label") * 1000000 + F.floor(F.col("article_id") / 40)))
+
+
+@query
+def evl_consensus(spark, sf):
+    return E.consensus(_labelers(spark, sf).select("labeler", "article_id", "cluster"), 2)
+
+
+@query
+def evl_ari(spark, sf):
+    i = issue(spark, sf).select("article_id", "issue_local", (F.col("article_id") % 4).alias("other"), F.col("issue_local").alias("same"))
+    return E.adjusted_rand(i.withColumn("mixed", F.when(F.col("other") == 0, F.col("issue_local") + 50).otherwise(F.col("issue_local"))), "issue_local", "mixed")
+
+
+@query
+def evl_ari_noise(spark, sf):
+    i = E.noise_as_singletons(issue(spark, sf).select("article_id", "issue_local").withColumn("truth", F.col("article_id") % 9), "issue_local", "article_id")
+    return E.adjusted_rand(i, "issue_local", "truth")
+
+
+@query
+def evl_pair_strata(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.col("vec_id"), F.col("embedding"), F.when(F.col("vec_id") % 7 == 0, -1).otherwise(F.col("label")).alias("l"))
+    x, y = e.toDF("a", "va", "label_a"), e.toDF("b", "vb", "label_b")
+    pairs = x.withColumn("b", F.col("a") + 1).join(y, "b").withColumn("sim", V.dot(F.col("va"), F.col("vb")))
+    return E.pair_strata(pairs.withColumn("same", F.col("a") % 3 != 0), 0.1)
+
+
+@query
+def evl_dedup_prf(spark, sf):
+    folded = D.exact_fold(articles(spark, sf)).join(articles(spark, sf).select("article_id", "doc_id"), "article_id")
+    lab = table(spark, sf, "labels").select("doc_id", (F.lit(1) - F.col("quality")).alias("actual"))
+    return E.precision_recall(folded.join(lab, "doc_id").withColumn("predicted", F.col("duplicate_of").isNotNull().cast("int")), "predicted", "actual")
+
+
+@query
+def evl_confusion(spark, sf):
+    return E.precision_recall(table(spark, sf, "labels"), "toxic", "quality")
+
+
+@query
+def evl_merge_verdicts(spark, sf):
+    e = table(spark, sf, "events").select((F.col("event_id") % 500).alias("pair_id"), F.when(F.col("user_id") % 3 == 0, "O").otherwise("X").alias("verdict"))
+    return E.merge_verdicts(e, 12)
+
+
+@query
+def evl_separation(spark, sf):
+    p = V.pairs_above(table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), F.col("embedding").alias("vector"), "label"), "label", -1.0)
+    return E.separation(p.where("(a + b) % 2 = 0"), p.where("(a + b) % 2 = 1"))
+
+
+@query
+def evl_round_robin(spark, sf):
+    return E.round_robin(table(spark, sf, "labels").select("doc_id", F.col("doc_id").alias("place")), 6).select("doc_id", F.array_join("labelers", ",").alias("labelers"))
+
+
+# -- profile -------------------------------------------------------------------------------------------------------
+@query
+def prf_profile(spark, sf):
+    return P.profile(articles(spark, sf))
+
+
+@query
+def prf_len_buckets(spark, sf):
+    return P.length_buckets(articles(spark, sf))
+
+
+@query
+def prf_first_last_lines(spark, sf):
+    return P.edge_lines(articles(spark, sf))
+
+
+@query
+def prf_date_parse(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "ts")
+    form = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy.MM.dd HH:mm")).otherwise(F.replace(F.replace(F.date_format("ts", "yyyy.MM.dd. a h:mm"), F.lit("AM"), F.lit("오전")), F.lit("PM"), F.lit("오후")))
+    return e.select("event_id", F.date_format(P.parse_date(form), "yyyy-MM-dd HH:mm").alias("utc"))
+
+
+@query
+def prf_repeated_titles(spark, sf):
+    return P.repeated(articles(spark, sf), "publisher_id", "title")
+
+
+@query
+def prf_sample(spark, sf):
+    """A sampling operator: three documents of each source."""
+    return P.sample_groups(table(spark, sf, "documents").select("doc_id", "source"), "source", 3, "doc_id")
+
+
+# -- export --------------------------------------------------------------------------------------------------------
+def _export(spark, sf):
+    m = _members(spark, sf)
+    q = m.withColumn("structured", F.col("issue_local") == 1)
+    reg = m.where("issue_local >= 0 and article_id % 6 <> 5").select("article_id", (F.col("issue_local") + 100).cast("long").alias("issue_id"))
+    gold = m.select("article_id", "publisher_id", F.concat(F.lit("https://x/"), F.col("article_id").cast("string")).alias("url"), F.concat(F.lit("t"), F.col("article_id").cast("string")).alias("title"), "published_at", "category")
+    clean = m.select("article_id", F.when(F.col("article_id") % 10 == 3, " ").otherwise("body").alias("content_clean"))
+    return O.export_rows(q, reg, gold, clean)
+
+
+@query
+def exp_join(spark, sf):
+    return _export(spark, sf).select("article_id", "issue_id", "url", "category")
+
+
+@query
+def exp_reuse(spark, sf):
+    rows = _export(spark, sf)
+    now = O.links_of(rows).withColumn("title", F.lit("t")).withColumn("category", F.lit("c"))
+    old = O.links_of(rows.where("issue_id <> 103 or article_id % 2 = 0")).withColumn("title", F.when(F.col("issue_id") == 104, "u").otherwise("t")).withColumn("category", F.lit("c"))
+    return O.reusable(now, old)
+
+
+@query
+def exp_message(spark, sf):
+    rows = _export(spark, sf).withColumn("label", F.lit("기타 관점")).withColumn("stance", F.lit("neutral"))
+    issues = rows.select("issue_id").distinct().select("issue_id", F.lit("경제").alias("category"), F.lit("s").alias("fact_summary"), F.array(F.lit("s")).alias("briefing"), F.to_timestamp(F.lit("2024-01-01 18:00:00")).alias("clustered_at"))
+    return O.messages(issues, rows)
