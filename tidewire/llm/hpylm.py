@@ -7,7 +7,7 @@ is a token (or a child's table), a dish is a word, and every table sends one cus
 
 1. Documents are read once, in blocks of some ``BLOCK_TOKENS`` tokens.  A block writes its distinct (word, context)
    pairs with their training counts, and each document as numbers of these pairs, to the shared folder.
-2. The pairs are dealt out by word, so that a word's rows of all restaurants lie together (at most one row per
+2. The pairs are dealt out in parts by a hash of the word, so that a word's rows of all restaurants lie together (at most one row per
    context and block).  Gibbs sweeps let all customers of a (restaurant, dish) leave and sit down again one by one,
    from the children up; the proposal is kept by a Metropolis step.  Counts above ``LEAP`` sit down in bundles
    of a sixteenth of those seated.  Restaurant-wide table totals inside a sweep are the partition's own, scaled to all.
@@ -39,9 +39,9 @@ BLOCK_TOKENS = 4_000_000
 CONTEXTS, PARENTS = 4096, 256
 FAMILY = CONTEXTS // PARENTS
 DISCOUNT, STRENGTH = (0.85, 0.75, 0.6), (1.0, 1.0, 1.0)  # context, parent, root
-BURN_IN, SAMPLES, LEAP, SEED = 2, 3, 64, 29
-#: Rows of (block, word) that a word partition holds about.
-PARTITION_ROWS = 250_000
+BURN_IN, SAMPLES, LEAP, SEED = 2, 2, 64, 29
+#: Parts that words are hashed into, for each split of the input.
+PARTS_PER_SPLIT = 4
 
 
 def context_of(word: bytes) -> int:
@@ -73,40 +73,51 @@ class Block:
         self.docs.append((doc_id, held))
         self.size += len(words) + 1
 
-    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        """Word rows (w, first pair number, contexts, training counts), then document rows (doc_id, held_out, pair numbers)."""
+    def rows(self, block: int, parts: int) -> Iterator[pa.RecordBatch]:
+        """Word rows, one a part that words are hashed into (words, contexts of each, contexts, training counts), a row of the
+        training tokens by context, and document rows (doc_id, held_out, pair numbers). Pairs are numbered by (part, word, context)."""
         import xxhash
 
         context = np.array(self.context)
+        w = np.array([xxhash.xxh64_intdigest(x) for x in self.number], dtype=np.uint64).view(np.int64)
+        part = (w.view(np.uint64) >> np.uint64(20)).astype(np.int64) % parts
+        order = np.lexsort((w, part))
+        rank = np.empty(len(w), np.int64)
+        rank[order] = np.arange(len(w))
         tokens = np.concatenate(self.parts)
         length = np.array([len(p) for p in self.parts])
         before = np.roll(tokens, 1)
         starts = np.cumsum(length) - length
         before[starts] = 0
-        pairs, at = np.unique(tokens * CONTEXTS + context[before], return_inverse=True)
+        ctx = context[before]
+        pairs, at = np.unique(rank[tokens] * CONTEXTS + ctx, return_inverse=True)
         training = np.repeat(np.array([not h for _, h in self.docs]), length)
         count = np.bincount(at[training], minlength=len(pairs)).astype(np.uint32)
+        by_context = np.bincount(ctx[training], minlength=CONTEXTS).astype(np.int64)
+        yield _rows(block=[block], kind=["ctx"], a=[by_context.tobytes()])
         word, ctx = pairs // CONTEXTS, (pairs % CONTEXTS).astype(np.uint16)
+        # the end token may not occur among the first words; every word of the block has a pair
         firsts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        ends = np.r_[firsts[1:], len(pairs)]
-        names = list(self.number)
-        for lo in range(0, len(firsts), 50_000):
-            f, e = firsts[lo : lo + 50_000], ends[lo : lo + 50_000]
-            yield _rows(
-                block=[block] * len(f),
-                w=np.array([xxhash.xxh64_intdigest(names[k]) for k in word[f]], dtype=np.uint64).view(np.int64),
-                first=f,
-                a=[ctx[i:j].tobytes() for i, j in zip(f, e, strict=True)],
-                b=[count[i:j].tobytes() for i, j in zip(f, e, strict=True)],
-            )
+        size = np.diff(np.r_[firsts, len(pairs)]).astype(np.uint16)
+        w, part = w[order][word[firsts]], part[order][word[firsts]]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        ends = np.r_[cuts[1:], len(part)]
+        pair_end = np.r_[firsts[1:], len(pairs)]
+        spans = [(i, j, firsts[i], pair_end[j - 1]) for i, j in zip(cuts, ends, strict=True)]
+        yield _rows(
+            block=[block] * len(spans), kind=["word"] * len(spans), part=[int(part[i]) for i, _, _, _ in spans], first=[int(f) for _, _, f, _ in spans],
+            w=[w[i:j].tobytes() for i, j, _, _ in spans], size=[size[i:j].tobytes() for i, j, _, _ in spans],
+            a=[ctx[f:e].tobytes() for _, _, f, e in spans], b=[count[f:e].tobytes() for _, _, f, e in spans],
+        )
         at = at.astype(np.uint32)
         yield _rows(
-            block=[block] * len(self.docs), doc_id=[d for d, _ in self.docs], held=[h for _, h in self.docs],
+            block=[block] * len(self.docs), kind=["doc"] * len(self.docs), doc_id=[d for d, _ in self.docs], held=[h for _, h in self.docs],
             a=[at[s : s + n].tobytes() for s, n in zip(starts, length, strict=True)],
         )
 
 
-_ROW = [("block", pa.int64()), ("w", pa.int64()), ("first", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("a", pa.binary()), ("b", pa.binary())]
+_ROW = [("block", pa.int64()), ("kind", pa.string()), ("part", pa.int64()), ("first", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("w", pa.binary()), ("size", pa.binary()), ("a", pa.binary()), ("b", pa.binary())]
+_ROW_DDL = "block long, kind string, part long, first long, doc_id long, held boolean, w binary, size binary, a binary, b binary"
 
 
 def _rows(**cols) -> pa.RecordBatch:
@@ -114,18 +125,21 @@ def _rows(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols.get(name, [None] * n), kind) for name, kind in _ROW], names=[n for n, _ in _ROW])
 
 
-def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _block_reader(parts: int):
+    def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, k, block = TaskContext.get().partitionId(), 0, Block()
+        for b in batches:
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                block.add(doc_id, text.as_py() or "")
+                if block.size >= BLOCK_TOKENS:
+                    yield from block.rows((task << 24) | k, parts)
+                    k, block = k + 1, Block()
+        if block.docs:
+            yield from block.rows((task << 24) | k, parts)
 
-    task, k, block = TaskContext.get().partitionId(), 0, Block()
-    for b in batches:
-        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            block.add(doc_id, text.as_py() or "")
-            if block.size >= BLOCK_TOKENS:
-                yield from block.rows((task << 24) | k)
-                k, block = k + 1, Block()
-    if block.docs:
-        yield from block.rows((task << 24) | k)
+    return read_blocks
 
 
 # -- seating -------------------------------------------------------------------------------------------------------
@@ -211,26 +225,19 @@ class Sampler:
         self._step(2, self.m0, np.full(self.words, float((STRENGTH[2] + DISCOUNT[2] * t0[0]) * self.base)))
 
 
-def _load(batches: Iterator[pa.RecordBatch]) -> dict | None:
-    """The word rows of a partition in a fixed order, their pairs flat, equal pairs of several blocks added up."""
-    t = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-    if t is None or not t.num_rows:
-        return None
-    w, block, first = (np.array(t.column(c)) for c in ("w", "block", "first"))
-    order = np.lexsort((block, w))
-    raw_a, raw_b = t.column("a").combine_chunks(), t.column("b").combine_chunks()
-    ctx = [np.frombuffer(raw_a[int(i)].as_py(), np.uint16) for i in order]
-    count = np.concatenate([np.frombuffer(raw_b[int(i)].as_py(), np.uint32) for i in order])
-    size = np.array([len(x) for x in ctx])
-    words, number = np.unique(w[order], return_inverse=True)
-    pairs, at = np.unique(np.repeat(number, size) * CONTEXTS + np.concatenate(ctx), return_inverse=True)
-    return {"block": block[order], "first": first[order], "size": size, "number": number, "words": len(words), "word": pairs // CONTEXTS, "ctx": pairs % CONTEXTS, "n": np.bincount(at, count, len(pairs)), "at": at}
-
+def _load(t: pa.Table) -> dict:
+    """The words of one part in a fixed order, their pairs flat, equal pairs of several blocks added up."""
+    t = t.sort_by("block")
+    flat = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in t.column(name)), kind)
+    w, size = flat("w", np.int64), flat("size", np.uint16).astype(np.int64)
+    words, number = np.unique(w, return_inverse=True)
+    pairs, at = np.unique(np.repeat(number, size) * CONTEXTS + flat("a", np.uint16), return_inverse=True)
+    n_words = [len(x.as_py()) // 8 for x in t.column("w")]
+    return {"table": t, "n_words": n_words, "size": size, "number": number, "words": len(words), "word": pairs // CONTEXTS, "ctx": pairs % CONTEXTS, "n": np.bincount(at, flat("b", np.uint32), len(pairs)), "at": at}
 
-def _samples(x: dict, world: tuple[float, np.ndarray, int]) -> Iterator[Sampler]:
-    from pyspark import TaskContext
 
-    s = Sampler(x["word"], x["ctx"], x["n"], *world, seed=TaskContext.get().partitionId())
+def _samples(x: dict, world: tuple[float, np.ndarray, int], part: int) -> Iterator[Sampler]:
+    s = Sampler(x["word"], x["ctx"], x["n"], *world, seed=part)
     for k in range(BURN_IN + SAMPLES):
         s.sweep()
         if k >= BURN_IN:
@@ -241,72 +248,69 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/hpylm-{uuid.uuid4().hex}"
-    ddl = "block long, w long, first long, doc_id long, held boolean, a binary, b binary"
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    src.mapInArrow(read_blocks, ddl).withColumn("kind", F.when(F.col("w").isNull(), "doc").otherwise("word")).write.partitionBy("kind").option("compression", "zstd").mode("overwrite").parquet(folder)
-    schema = spark.read.parquet(folder).schema if docs_written(spark, folder) else None
-    if schema is None:
-        return spark.createDataFrame([], RESULT)
-    written = spark.read.schema(schema).parquet(folder)
-    word = written.where("kind = 'word'").select("block", "w", "first", "a", "b")
-    n_rows = word.count()
-    parts = max(spark.sparkContext.defaultParallelism, -(-n_rows // PARTITION_ROWS))
+    # parts follow the input's splits, so a part's words stay a few hundred thousand at any size
+    parts = PARTS_PER_SPLIT * src.rdd.getNumPartitions()
+    src.mapInArrow(_block_reader(parts), _ROW_DDL).write.partitionBy("kind").option("compression", "zstd").parquet(folder)
+    written = spark.read.schema(_ROW_DDL).parquet(folder) if docs_written(spark, folder) else spark.createDataFrame([], _ROW_DDL)
+    word = written.where("kind = 'word'").select("block", "part", "first", "w", "size", "a", "b")
 
     def by_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CONTEXTS, np.int64)
-        for b in batches:
-            for ctx, n in zip(b.column(0), b.column(1), strict=True):
-                np.add.at(total, np.frombuffer(ctx.as_py(), np.uint16), np.frombuffer(n.as_py(), np.uint32))
+        total = sum((np.frombuffer(x.as_py(), np.int64) for b in batches for x in b.column(0)), np.zeros(CONTEXTS, np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CONTEXTS)), pa.array(total)], names=["ctx", "n"])
 
     # CONTEXTS rows at most
-    counted = word.select("a", "b").mapInArrow(by_context, "ctx long, n long").groupBy("ctx").agg(F.sum("n").alias("n")).collect()
+    counted = written.where("kind = 'ctx'").select("a").mapInArrow(by_context, "ctx long, n long").groupBy("ctx").agg(F.sum("n").alias("n")).collect()
     customers = np.zeros(CONTEXTS)
-    customers[[r["ctx"] for r in counted]] = [r["n"] for r in counted]
+    if counted:
+        customers[[r["ctx"] for r in counted]] = [r["n"] for r in counted]
     tokens = float(customers.sum())
-    trained = F.regexp_replace(F.hex("b"), "0", "") != ""
-    vocabulary = word.where(trained).select("w").distinct().count()
-    world = (tokens, customers, vocabulary)
-    dealt = word.repartition(parts, "w")
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = _load(batches)
-        if x is None:
-            return
-        for k, s in enumerate(_samples(x, world)):
-            for name, v in enumerate(s.totals()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), k * 8 + name)), pa.array(np.arange(len(v))), pa.array(v)], names=["what", "at", "v"])
-
-    # SAMPLES * (CONTEXTS + 2 * PARENTS + 2) rows
-    sums = dealt.mapInArrow(add_up, "what long, at long, v double").groupBy("what", "at").agg(F.sum("v").alias("v")).collect()
+    # while sampling, the root's base is uniform over as many words as there are training tokens; its exact size is
+    # known after the first pass, and every probability that is given out uses that
+    world = (tokens, customers, max(1, int(tokens)))
+
+    def add_up(key, t):
+        x = _load(t)
+        what, at, v = [np.array([-1])], [np.array([0])], [np.array([float((np.bincount(x["word"], x["n"], x["words"]) > 0).sum())])]
+        for k, s in enumerate(_samples(x, world, key[0].as_py())):
+            for name, total in enumerate(s.totals()):
+                what.append(np.full(len(total), k * 8 + name))
+                at.append(np.arange(len(total)))
+                v.append(total)
+        return pa.table({"what": pa.array(np.concatenate(what), pa.int64()), "at": pa.array(np.concatenate(at), pa.int64()), "v": pa.array(np.concatenate(v), pa.float64())})
+
+    # SAMPLES * (CONTEXTS + 2 * PARENTS + 2) + 1 rows
+    sums = word.groupBy("part").applyInArrow(add_up, "what long, at long, v double").groupBy("what", "at").agg(F.sum("v").alias("v")).collect()
     totals = [[np.zeros(CONTEXTS), np.zeros(PARENTS), np.zeros(PARENTS), np.zeros(1), np.zeros(1)] for _ in range(SAMPLES)]
+    vocabulary = 0
     for r in sums:
-        totals[r["what"] // 8][r["what"] % 8][r["at"]] = r["v"]
+        if r["what"] < 0:
+            vocabulary = int(r["v"])
+        else:
+            totals[r["what"] // 8][r["what"] % 8][r["at"]] = r["v"]
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = _load(batches)
-        if x is None:
-            return
+    def answer(key, t):
+        x = _load(t)
         p = np.zeros(len(x["word"]))
-        for s, total in zip(_samples(x, world), totals, strict=True):
+        for s, total in zip(_samples(x, world, key[0].as_py()), totals, strict=True):
+            s.base = 1.0 / (vocabulary + 1)
             p += s.probabilities(total)[2]
+            s.base = 1.0 / (world[2] + 1)
         log = np.log10(p / SAMPLES).astype(np.float32)[x["at"]]
-        seen = np.bincount(x["word"], x["n"], x["words"]).astype(np.int64)
-        ends = np.cumsum(x["size"])
-        for lo in range(0, len(ends), 50_000):
-            hi = min(lo + 50_000, len(ends))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x["block"][lo:hi]), pa.array(x["first"][lo:hi]), pa.array(seen[x["number"][lo:hi]]), pa.array([log[e - n : e].tobytes() for e, n in zip(ends[lo:hi], x["size"][lo:hi], strict=True)], pa.binary())],
-                names=["block", "first", "c", "p"],
-            )
+        seen = np.bincount(x["word"], x["n"], x["words"]).astype(np.uint32)[x["number"]]
+        ends = np.cumsum(x["n_words"])
+        pair_ends = np.r_[0, np.cumsum(x["size"])]
+        t = x["table"]
+        spans = [(e - n, e) for e, n in zip(ends, x["n_words"], strict=True)]
+        return pa.table({"block": t.column("block"), "first": t.column("first"), "size": t.column("size"), "c": pa.array([seen[i:j].tobytes() for i, j in spans], pa.binary()), "p": pa.array([log[pair_ends[i] : pair_ends[j]].tobytes() for i, j in spans], pa.binary())})
 
-    answers = dealt.mapInArrow(answer, "block long, first long, c long, p binary")
+    answers = word.groupBy("part").applyInArrow(answer, "block long, first long, size binary, c binary, p binary")
 
     def add_docs(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values("first", ignore_index=True)
-        log = np.frombuffer(b"".join(found["p"]), np.float32).astype(np.float64)
-        size = np.array([len(x) // 4 for x in found["p"]])
-        c = np.repeat(found["c"].to_numpy(), size)
+        flat = lambda name, kind: np.frombuffer(b"".join(found[name]), kind)
+        log = flat("p", np.float32).astype(np.float64)
+        c = np.repeat(flat("c", np.uint32), flat("size", np.uint16))
         base = np.log10((c + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
         out = []
         for doc_id, held, raw in zip(docs["doc_id"], docs["held"], docs["a"], strict=True):
