@@ -195,7 +195,7 @@ unit AS (SELECT f.*, df.w / sqrt(sum(df.w * df.w) OVER (PARTITION BY f.category,
 ns AS (SELECT category, stance, count(*) AS ns FROM docs GROUP BY ALL),
 prof AS (SELECT category, stance, term, sum(u) / any_value(ns) * pow(count(*) / any_value(ns), 2) AS own FROM unit JOIN ns USING (category, stance) GROUP BY ALL),
 scored AS (
-  SELECT p.category, p.stance, p.term, p.own, p.own - coalesce(max(o.own), 0) AS score FROM prof p LEFT JOIN prof o ON o.category = p.category AND o.term = p.term AND o.stance <> p.stance GROUP BY ALL),
+  SELECT p.category, p.stance, p.term, p.own, p.own - coalesce(max(o.own), 0) AS score FROM prof p LEFT JOIN prof o ON o.category = p.category AND o.term = p.term AND o.stance <> p.stance GROUP BY p.category, p.stance, p.term, p.own),
 ranked AS (SELECT category, stance, term, row_number() OVER (PARTITION BY category, stance ORDER BY round(score, 12) DESC, round(own, 12) DESC, term) AS rank FROM scored WHERE score > 0)
 SELECT category, stance, term, rank FROM ranked WHERE rank <= 5"""
     )

@@ -21,16 +21,20 @@ def _bom(c):
 def read_jsonl(spark: SparkSession, paths: list[str]) -> DataFrame:
     """record (JSON text), source_ref (file:line), error: one row a line that is not blank; a bad line is an error, not a failure.
 
-    Line numbers follow the file's own order: they are counted inside each file from the split's row order."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jsonl,ndjson}").option("wholetext", True).text(paths)
-    files = lines.select(F.input_file_name().alias("f"), F.posexplode(F.split(_bom(F.col("value")), r"\r\n|\n|\r")).alias("i", "line"))
-    rows = files.select("f", (F.col("i") + 1).alias("n"), trim_unicode(F.col("line")).alias("s")).where("s <> ''")
+    Files are split as usual; a line's number is its place in its split plus the lines of the splits before, which are
+    summed in a window of one row a split."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jsonl,ndjson}").text(paths)
+    placed = lines.select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    splits = placed.groupBy("f", "b").agg(F.min("i").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = placed.join(splits.select("f", "b", (before - F.col("first") + 1).alias("shift")), ["f", "b"])
+    rows = rows.select("f", (F.col("i") + F.col("shift")).alias("n"), trim_unicode(_bom(F.col("value"))).alias("s")).where("s <> ''")
     return _parsed(rows.select("s", F.concat(_path("f"), F.lit(":"), F.col("n").cast("string")).alias("source_ref")), "JSON line is not an object")
 
 
 def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     """record, source_ref, error of whole-file JSON: an object is one row, an array one row an item with ``file[i]``."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("wholetext", True).text(paths)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(paths, wholetext=True)
     one = files.select(F.input_file_name().alias("f"), F.trim(_bom(F.col("value"))).alias("s"))
     ok = F.try_parse_json("s").isNotNull()
     kind = F.when(~ok, "bad").when(F.col("s").startswith("["), "array").when(F.col("s").startswith("{"), "object").otherwise("other")

@@ -64,13 +64,16 @@ class Table:
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
         return sorted(n.split("=", 1)[1] for n in names if n.startswith(self.key + "="))
 
+    def conform(self, rows: DataFrame) -> DataFrame:
+        """The table's columns in order and type; missing ones are null."""
+        typed = self.spark.createDataFrame([], self.ddl).schema
+        return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in typed])
+
     def write(self, rows: DataFrame, sort: tuple[str, ...] = ("article_id",)) -> None:
         """Replace the partitions that ``rows`` has, in a fixed order inside each."""
         stage = f"{self.stage_root}/{self.name}-{uuid.uuid4().hex}"
-        cols = [f.split(" ")[0] for f in self.ddl.split(", ")]
-        have = set(rows.columns)
-        typed = self.spark.createDataFrame([], self.ddl).schema
-        rows = rows.select(*[(F.col(c) if c in have else F.lit(None)).cast(typed[c].dataType).alias(c) for c in cols])
+        rows = self.conform(rows)
+        cols = rows.columns
         rows.write.option("compression", "zstd").parquet(stage)
         staged = self.spark.read.schema(self.ddl).parquet(stage)
         keys = [k for k in sort if k in cols]
@@ -106,7 +109,7 @@ def upsert(table: Table, incoming: DataFrame, on_conflict: str = "keep") -> dict
     Returns written, skipped and replaced counts."""
     from tidewire.functions.session import cut
 
-    incoming = cut(incoming)
+    incoming = cut(table.conform(incoming))
     known = cut(table.read(columns=["article_id", "published_date"]).join(incoming.select("article_id"), "article_id", "left_semi"))
     n, hit = incoming.count(), known.count()
     if on_conflict == "keep":
