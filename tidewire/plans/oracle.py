@@ -27,9 +27,10 @@ sets AS (SELECT article_id, text, length(text) AS len, list_distinct([substr(tex
 )
 JACCARD = (
     GRAMS
-    + """, near AS (
-  SELECT a.article_id AS a, b.article_id AS b, len(list_intersect(a.g, b.g)) AS shared, len(a.g) AS na, len(b.g) AS nb
-  FROM sets a JOIN sets b ON a.article_id < b.article_id AND least(len(a.g), len(b.g)) >= 0.7 * greatest(len(a.g), len(b.g)) - 1e-9),
+    + """, flat AS (SELECT article_id, len(g) AS n, unnest(g) AS x FROM sets),
+near AS (
+  SELECT a.article_id AS a, b.article_id AS b, count(*) AS shared, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM flat a JOIN flat b ON a.x = b.x AND a.article_id < b.article_id AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) - 1e-9 GROUP BY 1, 2),
 pairs AS (SELECT a, b, shared / (na + nb - shared) AS jaccard FROM near WHERE shared / (na + nb - shared) >= 0.7)"""
 )
 COSINE = (
@@ -226,10 +227,11 @@ SQL: dict[str, str] = {
     "dup_eligible": f"WITH {ARTICLES} SELECT article_id, length(content) AS len FROM articles WHERE length(content) >= 100",
     "dup_shingle_count": f"WITH {ARTICLES} SELECT article_id, CAST(len(list_distinct([substr(content, i, 4) FOR i IN range(1, length(content) - 2)])) AS INTEGER) AS n FROM articles",
     "dup_jaccard_pairs": f"WITH {JACCARD} SELECT a, b, round(jaccard, 6) AS jaccard FROM pairs",
-    "dup_containment_pairs": f"""WITH {GRAMS}, near AS (
-  SELECT least(a.article_id, b.article_id) AS a, greatest(a.article_id, b.article_id) AS b, len(list_intersect(a.g, b.g)) / len(a.g) AS c
-  FROM sets a JOIN sets b ON (b.len > a.len OR (b.len = a.len AND b.article_id > a.article_id)) AND a.len >= 300)
-SELECT a, b, round(c, 6) AS containment FROM near WHERE c >= 0.9""",
+    "dup_containment_pairs": f"""WITH {GRAMS}, flat AS (SELECT article_id, len, len(g) AS n, unnest(g) AS x FROM sets),
+near AS (
+  SELECT a.article_id AS s, b.article_id AS l, count(*) / any_value(a.n) AS c
+  FROM flat a JOIN flat b ON a.x = b.x AND a.len >= 300 AND (b.len > a.len OR (b.len = a.len AND b.article_id > a.article_id)) GROUP BY 1, 2)
+SELECT least(s, l) AS a, greatest(s, l) AS b, round(c, 6) AS containment FROM near WHERE c >= 0.9""",
     "dup_tfidf_cosine_pairs": f"WITH {COSINE} SELECT a, b, round(cosine, 6) AS cosine FROM cosine",
     "dup_verified_method": f"""WITH {COSINE}, rest AS (
   SELECT c.a, c.b, CASE WHEN x.len <= y.len THEN x.g ELSE y.g END AS s, CASE WHEN x.len <= y.len THEN y.g ELSE x.g END AS l, least(x.len, y.len) AS n

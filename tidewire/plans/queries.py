@@ -121,6 +121,11 @@ def dup_minhash_signatures(spark, sf):
     return D.minhash_signatures(_survivors(spark, sf)).select("article_id", "text_sha1", "shingle_count", F.size("hashvalues").alias("hashes"))
 
 
+@query
+def dup_banded_pairs(spark, sf):
+    return D.banded_pairs(D.minhash_signatures(_survivors(spark, sf)))
+
+
 @query
 def dup_banded_recall(spark, sf):
     """Pairs of banded buckets that exact Jaccard confirms, and its own."""
