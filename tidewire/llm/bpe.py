@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import chunks, table
+from tidewire.llm.common import chunks, hold_caches, table
 
 #: Split rule of byte-level BPE (fixed value of the vocabulary's format).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -149,12 +149,18 @@ def model(path: str) -> TrieBpe:
     return _models[path]
 
 
+def forget() -> None:
+    """Drop what this process keeps between tasks."""
+    _models.clear()
+
+
 def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Per document: n_tokens, the ids (when ``keep_ids``, as ``ids``), digests of the ids and of the decoded text."""
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     fields += [("ids", pa.list_(pa.int64()))] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("bpe", forget)
         bpe = model(tokenizer)
         for b in batches:
             rows = []

@@ -8,7 +8,7 @@ more than once are cut with ``DataFrame.checkpoint`` into the folder of ``spark.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +32,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BATCH_ROWS, BATCH_BYTES = "1000", "16m"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores is dealt out once; larger inputs keep their splits (no shuffle)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
+    """A scan with fewer partitions than cores is dealt out once; larger inputs keep their splits (no shuffle).
+
+    Arrow batches of whole texts are kept small, unless the session says otherwise: a worker then holds some megabytes
+    of texts at a time, however long the partition is."""
+    spark = df.sparkSession
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    want = spark.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 
@@ -61,3 +71,13 @@ def chunks(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list
         held += len(text)
     if texts:
         yield ids, texts
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold_caches(owner: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Called as an operator begins in a Python worker: what other operators have kept in this process is dropped first."""
+    for other in [o for o in _held if o != owner]:
+        _held.pop(other)()
+    _held[owner] = clear

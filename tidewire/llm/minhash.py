@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import cut, table
+from tidewire.llm.common import cut, hold_caches, table
 from tidewire.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -37,7 +37,7 @@ SIGNATURE_FLOOR = 0.75 - 6 * (0.75 * 0.25 / HASHES) ** 0.5
 #: Up to this many ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 SALTS = 32
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 
 _U = np.uint64
 
@@ -82,6 +82,11 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(_mix(total))
 
 
+def forget() -> None:
+    """Drop what this process keeps between tasks."""
+    _known.clear()
+
+
 def minima(s: np.ndarray) -> np.ndarray:
     out = None
     for k in range(0, len(s), 256):
@@ -106,6 +111,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        hold_caches("minhash", forget)
         for b in batches:
             out: list[list] = [[], [], [], []]
             for t in b.column(1):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import table
+from tidewire.llm.common import hold_caches, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
@@ -118,6 +118,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("pii")
         for b in batches:
             rows = [[{"kind": k, "start": s, "end": e, "score": v} for s, e, k, v in spans(t.as_py() or "")] for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, kind)], names=["doc_id", "spans"])
@@ -132,6 +133,7 @@ def redact_text(docs: DataFrame, text_col: str = "text", count_col: str | None =
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("pii")
         for b in batches:
             cols = {n: b.column(i) for i, n in enumerate(names)}
             texts = [None if (x := t.as_py()) is None else redact(x, spans(x)) for t in cols[text_col]]

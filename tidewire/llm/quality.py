@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import cut, fold, table
+from tidewire.llm.common import cut, fold, hold_caches, table
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 RISK, DELTA, RULES_PER_STRATUM, BINS = 0.02, 0.1, 4, 100
@@ -134,6 +134,7 @@ def with_measures(docs: DataFrame, keep: list[str], text_col: str = "text") -> D
     src = docs.select(*keep, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("quality")
         for b in batches:
             rows = [measure(t.as_py() or "") for t in b.column(len(keep))]
             cols = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_FIELDS)]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import cut, fold, table
+from tidewire.llm.common import cut, fold, hold_caches, table
 from tidewire.llm.minhash import band_keys, minima, shingles
 
 #: Bound of the labelled sample that the lexicon and the weights are fitted on.
@@ -297,6 +297,7 @@ def with_score(docs: DataFrame, model: tuple[list[tuple[str, bool]], list[float]
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("toxicity")
         automaton, w = Automaton(terms), np.array(weights)
         base = float(w[-1])
         for b in batches:
