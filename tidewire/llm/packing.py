@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import chunks, cut, table
+from tidewire.llm.common import chunks, cut, hold_caches, table
 
 CAPACITY = 4096
 #: Tokens that one packing shard holds about: bounds a task's memory (some 20,000 documents).
@@ -134,10 +134,16 @@ def _encoder(path: str) -> WordIds:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop what this process keeps between tasks."""
+    _encoders.clear()
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's token pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("packing", forget)
         encode, step, end = _encoder(tokenizer), 4 * capacity, struct.pack("<I", END_ID)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
@@ -282,13 +288,18 @@ def _packer(level: int, last: bool, capacity: int, slack: int):
     return run
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TOKENS, slack: int = 8) -> DataFrame:
-    """Adds sequence_id and offset to rows of (doc_id, piece, start, length, ids_crc32)."""
-    open_rows, done, level = cut(rows.select(*KEYS)), [], 0
+def pack(rows: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TOKENS, slack: int | None = None) -> DataFrame:
+    """Adds sequence_id and offset to rows of (doc_id, piece, start, length, ids_crc32).
+
+    Bins with at most ``slack`` free tokens (a 64th of the capacity) close in a round; what lies in the others is packed
+    again with that of other shards, while that at least halves the tokens left: so there are few rounds."""
+    slack = capacity // 64 if slack is None else slack
+    open_rows, done, level, before = cut(rows.select(*KEYS)), [], 0, None
     while True:
         n, tokens = open_rows.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         shards = max(1, math.ceil(tokens / shard_tokens), math.ceil(n / SHARD_PIECES))
-        last = shards == 1
+        last = shards == 1 or (before is not None and tokens > before / 2)
+        before = tokens
 
         dealt = open_rows.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(level)), F.lit(shards)))
         placed = dealt.groupBy("_shard").applyInPandas(_packer(level, last, capacity, slack), PIECES + ", sequence_id long, offset long")
