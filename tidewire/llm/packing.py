@@ -34,7 +34,7 @@ SHARD_TOKENS = 4_000_000
 SHARD_PIECES = 50_000
 END_ID = 1
 #: Local search: steps in a shard whose rest goes on to the next round, and in the last one; bins and documents of a bin that a step looks at.
-ROUNDS, LAST_ROUNDS, SWAP_BINS, SWAP_ITEMS = 40, 400, 24, 16
+ROUNDS, LAST_ROUNDS, SWAP_BINS, SWAP_ITEMS = 40, 3000, 24, 16
 KEYS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -228,20 +228,25 @@ class Bins:
         mine = sorted(self.items[b], key=lambda i: (-self.length[i], i))[:SWAP_ITEMS]
         give = [(i,) for i in mine] + list(itertools.combinations(mine, 2))
         out_size = np.array([sum(self.length[i] for i in g) for g in give])
+        best = None
         for c in others:
             free = self.capacity - self.fill[c]
+            if best and free <= best[0]:
+                break  # others come by free space, and no gain exceeds it
             theirs = sorted(self.items[c], key=lambda j: (self.length[j], j))[:SWAP_ITEMS]
             back = [(j,) for j in theirs] + list(itertools.combinations(theirs, 2))
             gain = out_size[:, None] - np.array([sum(self.length[j] for j in t) for t in back])[None, :]
             gain[len(mine) :, len(theirs) :] = 0  # two for two is not among the exchanges
-            gain[(gain > free) | (gain <= 0)] = 0
+            gain[gain > free] = 0
             at = int(gain.argmax())
-            if gain.flat[at]:
-                out, into = give[at // len(back)], back[at % len(back)]
-                self.change(b, out, into)
-                self.change(c, into, out)
-                return True
-        return False
+            if gain.flat[at] > (best[0] if best else 0):
+                best = (int(gain.flat[at]), c, give[at // len(back)], back[at % len(back)])
+        if best is None:
+            return False
+        _, c, out, into = best
+        self.change(b, out, into)
+        self.change(c, into, out)
+        return True
 
     def improve(self, rounds: int) -> None:
         """Work on the emptiest bin: empty it into the others by moves and exchanges; stop when nothing improves.
@@ -254,7 +259,7 @@ class Bins:
             b = next((b for _, b in under if b not in stuck), None)
             if b is None or len(under) < 2:
                 return
-            others = [c for f, c in reversed(under) if f >= self.fill[b] and c != b][:SWAP_BINS]
+            others = [c for f, c in under if f >= self.fill[b] and c != b][:SWAP_BINS]
             moved = any([self._move(b, i) for i in sorted(self.items[b], key=lambda i: (-self.length[i], i))])
             if moved:
                 stuck.clear()
