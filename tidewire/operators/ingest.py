@@ -22,12 +22,9 @@ SOURCE_TYPES = ("DATASET", "RSS", "HTML")
 AWARE = r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|z|[+-]\d{2}:?\d{2})\z"
 
 
-def _field(record: Column, name: str) -> tuple[Column, Column]:
-    """(value as JSON text or null when the key is missing, name of the key that was found): the first alias present wins,
-    even with a null."""
+def _field(raw: Column, name: str) -> tuple[Column, Column]:
+    """(value, whether a key was found) of a map of raw values: the first alias present wins, even with a null."""
     names = ALIASES.get(name, (name,))
-    # a map of raw values tells a missing key from a null
-    raw = F.from_json(record, "map<string,variant>")
     present = [F.map_contains_key(raw, n) for n in names]
     value = F.lit(None).cast("variant")
     for n, p in reversed(list(zip(names, present, strict=True))):
@@ -43,9 +40,10 @@ def validate(records: DataFrame, record: str = "record") -> DataFrame:
 
     Errors are ``field: message``, joined by '; ' in field order. Texts are kept as they are, blank optional ones
     become null, timestamps need an offset."""
-    out, errors = records, []
+    # one parse a record; a map of raw values tells a missing key from a null
+    out, errors = records.withColumn("_raw", F.from_json(record, "map<string,variant>")), []
     for name in FIELDS:
-        value, has = _field(F.col(record), name)
+        value, has = _field(F.col("_raw"), name)
         kind = F.schema_of_variant(value)
         text = F.variant_get(value, "$", "string")
         is_text, is_null = kind == "STRING", F.is_variant_null(value) | value.isNull()
