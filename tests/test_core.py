@@ -162,6 +162,28 @@ def test_fold_window(spark):
     assert got == {"a": (None, 4, None), "b": ("a", 0, "sha256"), "c": ("a", 0, "cosine"), "d": ("a", 0, "containment"), "e": (None, 1, None), "f": (None, 1, None)}
 
 
+def test_fold_of_a_large_bucket(spark):
+    r = random.Random(7)
+    words = ["".join(chr(r.randrange(0xAC00, 0xD7A3)) for _ in range(4)) for _ in range(54)]
+    swapped = lambda i, j: " ".join([*words[:i], words[j], *words[i + 1 : j], words[i], *words[j + 1 :]])
+    texts = [swapped(i, i + d) for d in range(1, 5) for i in range(50)]
+    rows = gold(spark, [(f"a{i:03}", "p", "t", x, f"2024-01-01 {10 + (i * 37 % 200) // 60}:{(i * 37 % 200) % 60:02}:00", "c") for i, x in enumerate(texts)])
+    by = lambda c: {tuple(x) for x in D.fold(rows, config=D.DedupConfig(candidates=c)).collect()}
+    banded, exact = by("banded"), by("exact")
+    assert sum(x[1] is not None for x in banded) >= 190 and banded == exact
+
+
+def test_stars_in_a_task_and_in_rounds(spark, monkeypatch):
+    from tidewire.operators import graph
+
+    r = random.Random(5)
+    pairs = spark.createDataFrame([(f"n{i:02}", f"n{j:02}") for i in range(40) for j in range(i) if r.random() < 0.2], "a string, b string")
+    order = spark.createDataFrame([(f"n{i:02}", i * 17 % 40) for i in range(40)], "id string, k int")
+    at_once = {tuple(x) for x in star_groups(pairs, order, cap=5).collect()}
+    monkeypatch.setattr(graph, "TASK_EDGES", 0)
+    assert at_once == {tuple(x) for x in star_groups(pairs, order, cap=5).collect()}
+
+
 def test_signature_cache(spark):
     docs = spark.createDataFrame([("a", "some text here"), ("b", "other text there")], "article_id string, text string")
     sigs = D.minhash_signatures(docs)
