@@ -263,6 +263,24 @@ def test_hpylm_counts_and_probabilities(spark, odd, empty):
     assert hpylm.score(odd).count() == len(ODD) and hpylm.score(empty).count() == 0
 
 
+def test_hpylm_samples_with_the_distinct_words(spark, monkeypatch):
+    # one part: the restaurants' totals are exact inside a sweep too, and the scores are those of a sampler over all rows
+    monkeypatch.setattr(hpylm, "PARTS_PER_SPLIT", 1)
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    docs = [(i, " ".join(r.choices(words, k=60))) for i in range(60)]
+    got = {x.doc_id: x.score for x in hpylm.score(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()}
+    block = hpylm.Block()
+    for doc_id, text in docs:
+        block.add(doc_id, text)
+    rows = [x for b in block.rows(0, 1) for x in b.to_pylist()]
+    flat = hpylm._load(hpylm.pa.Table.from_pylist([x for x in rows if x["kind"] == "word"]))
+    customers = np.frombuffer(next(x["a"] for x in rows if x["kind"] == "ctx"), np.int64).astype(float)
+    samples = hpylm._samples(flat, (float(customers.sum()), customers, flat["words"]), 0)
+    log = np.log10(sum(s.probabilities(s.totals())[2] for s in samples) / hpylm.SAMPLES)[flat["at"]]
+    assert got == pytest.approx({x["doc_id"]: log[np.frombuffer(x["a"], np.uint32)].sum() for x in rows if x["kind"] == "doc"}, rel=1e-5)
+
+
 def test_hpylm_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     word, ctx = np.repeat(np.arange(50), 4), np.tile([0, 1, 16, 40], 50)

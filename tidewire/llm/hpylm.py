@@ -265,13 +265,28 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     if counted:
         customers[[r["ctx"] for r in counted]] = [r["n"] for r in counted]
     tokens = float(customers.sum())
-    # while sampling, the root's base is uniform over as many words as there are training tokens; its exact size is
-    # known after the first pass, and every probability that is given out uses that
-    world = (tokens, customers, max(1, int(tokens)))
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words of each row that occur in training."""
+        for b in batches:
+            words = []
+            for w, size, n in zip(b.column(1), b.column(2), b.column(3), strict=True):
+                size = np.frombuffer(size.as_py(), np.uint16).astype(np.int64)
+                here = np.add.reduceat(np.frombuffer(n.as_py(), np.uint32).astype(np.int64), np.cumsum(size) - size) > 0
+                words.append(np.frombuffer(w.as_py(), np.int64)[here].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary())], names=["part", "w"])
+
+    def distinct(key, t):
+        return pa.table({"n": pa.array([len(np.unique(np.frombuffer(b"".join(x.as_py() for x in t.column("w")), np.int64)))], pa.int64())})
+
+    # a word lies in one part, so the parts' distinct words add up
+    distinct_words = word.select("part", "w", "size", "b").mapInArrow(trained, "part long, w binary").groupBy("part").applyInArrow(distinct, "n long")
+    vocabulary = distinct_words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    world = (tokens, customers, vocabulary)
 
     def add_up(key, t):
         x = _load(t)
-        what, at, v = [np.array([-1])], [np.array([0])], [np.array([float((np.bincount(x["word"], x["n"], x["words"]) > 0).sum())])]
+        what, at, v = [], [], []
         for k, s in enumerate(_samples(x, world, key[0].as_py())):
             for name, total in enumerate(s.totals()):
                 what.append(np.full(len(total), k * 8 + name))
@@ -279,23 +294,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 v.append(total)
         return pa.table({"what": pa.array(np.concatenate(what), pa.int64()), "at": pa.array(np.concatenate(at), pa.int64()), "v": pa.array(np.concatenate(v), pa.float64())})
 
-    # SAMPLES * (CONTEXTS + 2 * PARENTS + 2) + 1 rows
+    # SAMPLES * (CONTEXTS + 2 * PARENTS + 2) rows
     sums = word.groupBy("part").applyInArrow(add_up, "what long, at long, v double").groupBy("what", "at").agg(F.sum("v").alias("v")).collect()
     totals = [[np.zeros(CONTEXTS), np.zeros(PARENTS), np.zeros(PARENTS), np.zeros(1), np.zeros(1)] for _ in range(SAMPLES)]
-    vocabulary = 0
     for r in sums:
-        if r["what"] < 0:
-            vocabulary = int(r["v"])
-        else:
-            totals[r["what"] // 8][r["what"] % 8][r["at"]] = r["v"]
+        totals[r["what"] // 8][r["what"] % 8][r["at"]] = r["v"]
 
     def answer(key, t):
         x = _load(t)
         p = np.zeros(len(x["word"]))
         for s, total in zip(_samples(x, world, key[0].as_py()), totals, strict=True):
-            s.base = 1.0 / (vocabulary + 1)
             p += s.probabilities(total)[2]
-            s.base = 1.0 / (world[2] + 1)
         log = np.log10(p / SAMPLES).astype(np.float32)[x["at"]]
         seen = np.bincount(x["word"], x["n"], x["words"]).astype(np.uint32)[x["number"]]
         ends = np.cumsum(x["n_words"])
