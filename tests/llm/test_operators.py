@@ -281,6 +281,10 @@ def test_hpylm_samples_with_the_distinct_words(spark, monkeypatch):
     assert got == pytest.approx({x["doc_id"]: log[np.frombuffer(x["a"], np.uint32)].sum() for x in rows if x["kind"] == "doc"}, rel=1e-5)
 
 
+def test_hpylm_averages_three_samples():
+    assert hpylm.SAMPLES == 3
+
+
 def test_hpylm_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     word, ctx = np.repeat(np.arange(50), 4), np.tile([0, 1, 16, 40], 50)
