@@ -384,3 +384,18 @@ def test_chat_rotates_and_joins_parts(spark):
     assert "hi < |im_end|><|im_end|>" in first and "user name=bob\n<|im_end|>" in first
     assert "PythonUDF" not in chat.rotate(df)._jdf.queryExecution().toString()
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_embedding_dedup_finds_pairs_in_a_dense_cloud(spark):
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    n, pairs, dim = 6000, 300, 64
+    centre = unit(rng.standard_normal(dim))
+    cloud = unit(math.sqrt(0.85) * centre + math.sqrt(0.15) * unit(rng.standard_normal((n, dim))))
+    away = rng.standard_normal((pairs, dim))
+    away = unit(away - (away * cloud[:pairs]).sum(axis=1, keepdims=True) * cloud[:pairs])
+    cloud = np.vstack([cloud, 0.935 * cloud[:pairs] + math.sqrt(1 - 0.935**2) * away])
+    near = cloud @ cloud.T >= embedding_dedup.COSINE
+    rows = [(i, x.tolist(), "l") for i, x in enumerate(cloud)]
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {i: int(k) - 1 for i, k in enumerate(near.sum(axis=1))}

@@ -4,8 +4,9 @@
 2. Each pass orders the classes of a label lexicographically by ``BITS`` concatenated random-hyperplane hashes
    (ties by id), deals the order out in ranges and compares every vector with its next ``WINDOW`` neighbours,
    across range borders too.  Verified pairs are united within a range and across passes (star components).
-   The number of passes follows from the largest label's size so that a pair at the threshold is missed by all
-   passes with probability ``MISS`` at most.
+   The number of passes follows for every label from its size and the angles between its vectors, measured on a
+   sample, so that a pair at the threshold is missed by all passes with probability ``MISS`` at most.  A label so
+   dense that windows would cost more than all its pairs is compared in full, in blocks; only links leave a block.
 3. Windows are bounded, groups are not: every component is then compared within itself, all against all, in
    blocks of ``BLOCK`` vectors; only link counts leave a block, never pairs.  So link counts are exact inside a
    component, whatever its size.
@@ -32,6 +33,9 @@ from tidewire.llm.components import components
 COSINE, BITS, WINDOW, BLOCK, MISS, LEAST_PASSES = 0.93, 48, 64, 512, 0.002, 6
 #: Rows of a range, and vectors of a group of small components.
 RANGE_ROWS, GROUP_ROWS = 20_000, 4_000
+#: Vectors of a label whose angles are measured; of them those taken as one of a pair; vectors of a block of a label that is compared
+#: in full; how many times cheaper one of its products is than one of a window.
+SAMPLE, PROBES, FULL_BLOCK, FULL_GAIN = 1024, 128, 2048, 4
 SEED = 5
 
 
@@ -42,6 +46,31 @@ def passes_for(n: int, cosine: float = COSINE, window: int = WINDOW, miss: float
     return max(LEAST_PASSES, math.ceil(math.log(miss) / math.log1p(-min(hit, 0.999))))
 
 
+def passes_measured(n: int, x: np.ndarray, cosine: float = COSINE, window: int = WINDOW, miss: float = MISS) -> int:
+    """As passes_for, with the angles of a sample ``x`` of unit vectors; 0 if all pairs are cheaper than the windows.
+
+    Rows that share j bits with a vector are n times the mean of its (1 - angle / pi) ** j; a pair that agrees on so many
+    bits that these fit a window is found. The pairs are missed with ``miss`` on average over the vectors."""
+    if n <= window + 1:
+        return LEAST_PASSES
+    agree = 1 - math.acos(cosine) / math.pi
+    probes = x[:PROBES]
+    same = 1 - np.arccos(np.clip(probes @ x.T, -1, 1)) / np.pi
+    np.fill_diagonal(same[:, : len(probes)], 0)
+    bits, power = np.full(len(probes), BITS + 1), np.ones_like(same)
+    for j in range(1, BITS + 1):
+        power *= same
+        bits = np.where((bits > BITS) & (n * power.sum(axis=1) / max(1, len(x) - 1) <= window), j, bits)
+    # one bit more, as the two may lie at the edges of what shares the key; beyond the key's bits nothing is found
+    hit = np.where(bits < BITS, np.minimum(agree ** (bits + 1.0), 0.999), 0.0)
+    most = n // (FULL_GAIN * window) + 1
+    least = passes_for(n, cosine, window, miss)
+    for passes in range(least, max(least, most) + 1):
+        if ((1 - hit) ** passes).mean() <= miss:
+            return passes
+    return 0
+
+
 def _matrix(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in col), np.float64).reshape(len(col), -1) if len(col) else np.empty((0, 0))
 
@@ -108,28 +137,38 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     own = src.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if not largest[0]:
         return own.withColumn("kept", F.lit(True))
-    n_passes = passes_for(largest[0], cosine)
-    ranges = max(1, math.ceil(largest[1] * n_passes / RANGE_ROWS))
+    sizes = classes.groupBy("set").agg(F.count("*").alias("total"))
+    sampled = classes.join(sizes, "set").where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) * F.col("total") < 2 * SAMPLE * (1 << 30))
+
+    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = _unit(np.array(pdf.sort_values("id")["v"].tolist(), dtype=np.float64))
+        x = np.random.default_rng(SEED).permutation(x)[:SAMPLE]
+        return pd.DataFrame({"set": [pdf["set"].iloc[0]], "passes": [passes_measured(int(pdf["total"].iloc[0]), x, cosine)]})
+
+    plan = cut(sizes.join(sampled.groupBy("set").applyInPandas(measure, "set long, passes int").withColumnRenamed("set", "s"), F.col("set") == F.col("s"), "left").select("set", "total", F.coalesce("passes", F.lit(0)).alias("passes")))
+    work = plan.agg(F.max("passes"), F.sum(F.col("passes") * F.col("total"))).first()
+    ranges = max(1, math.ceil(work[1] / RANGE_ROWS))
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
         place = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
         for b in batches:
-            sets, ids, vectors = b.column(0), b.column(1), b.column(2)
+            sets, ids, vectors, passes = b.column(0), b.column(1), b.column(2), np.array(b.column(3))
             size = np.array([len(v) for v in vectors])
             for dim in np.unique(size):
                 at = np.flatnonzero(size == dim)
                 x = np.array([vectors[int(i)].as_py() for i in at], dtype=np.float64)
                 x = _unit(x / np.abs(x).max(axis=1)[:, None])
-                if int(dim) not in planes:
-                    planes[int(dim)] = np.random.default_rng([SEED, int(dim)]).standard_normal((int(dim), n_passes, BITS))
-                take = pa.array(at)
                 raw = pa.array([r.tobytes() for r in x], pa.binary())
-                for p in range(n_passes):
-                    key = ((x @ planes[int(dim)][:, p]) > 0) @ place
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), p), pa.int32()), sets.take(take), pa.array(key), ids.take(take), raw], names=["pass", "set", "key", "id", "x"])
-
-    keyed = classes.select("set", "id", "v").mapInArrow(project, "pass int, set long, key long, id long, x binary")
+                for p in range(int(passes[at].max())):
+                    if (int(dim), p) not in planes:
+                        planes[int(dim), p] = np.random.default_rng([SEED, int(dim), p]).standard_normal((int(dim), BITS))
+                    mine = np.flatnonzero(passes[at] > p)
+                    key = ((x[mine] @ planes[int(dim), p]) > 0) @ place
+                    take = pa.array(at[mine])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(mine), p), pa.int32()), sets.take(take), pa.array(key), ids.take(take), raw.take(pa.array(mine))], names=["pass", "set", "key", "id", "x"])
+
+    keyed = classes.join(plan.where("passes > 0"), "set").select("set", "id", "v", "passes").mapInArrow(project, "pass int, set long, key long, id long, x binary")
     order = ["pass", "set", "key", "id"]
     dealt = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
@@ -177,6 +216,28 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     edges = found.where("border is null").select("a", "b").unionByName(found.where("border is not null").groupBy("border").applyInPandas(across, "a long, b long"))
+    parts = F.ceil(F.col("total") / FULL_BLOCK)
+    full = classes.join(plan.where("passes = 0"), "set").withColumn("block", F.pmod(F.xxhash64("id"), parts))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    full = full.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+
+    def all_pairs(key, pdf):
+        ids, x = pdf["id"].to_numpy(), _unit(np.array(pdf["v"].tolist(), dtype=np.float64))
+        low, high = np.flatnonzero(pdf["block"] == key[1]), np.flatnonzero(pdf["block"] == key[2])
+        root = np.arange(len(ids))
+        for i in range(0, len(low), BLOCK):
+            at = low[i : i + BLOCK]
+            near = x[at] @ x[high].T
+            for r, c in np.argwhere(np.abs(near - cosine) < 1e-9):
+                near[r, c] = float(np.dot(x[at[r]], x[high[c]]))
+            r, c = np.nonzero(near >= cosine)
+            # what is linked so far stays linked; a block of links leaves as stars
+            star = np.flatnonzero(root != np.arange(len(ids)))
+            root = _united(np.r_[at[r], star], np.r_[high[c], root[star]], len(ids))
+        at = np.flatnonzero(root != np.arange(len(ids)))
+        return pd.DataFrame({"a": np.minimum(ids[root[at]], ids[at]), "b": np.maximum(ids[root[at]], ids[at])})
+
+    edges = edges.unionByName(full.select("set", "lo", "hi", "block", "id", "v").groupBy("set", "lo", "hi").applyInPandas(all_pairs, "a long, b long"))
     comp = cut(components(edges))
     members = classes.select("id", "v", "weight").join(comp, "id")
     sizes = comp.groupBy("component").agg(F.count("*").alias("n"))
