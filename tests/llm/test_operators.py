@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidewire.llm import bpe, chat, embedding_dedup, html_extract, hpylm, html_nodes, minhash, packing, pii, quality, toxicity
+from tidewire.llm import bpe, chat, embedding_dedup, html_extract, html_nodes, minhash, packing, pii, quality, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "palabra larga " * 9000
@@ -247,68 +247,6 @@ def test_quotation_is_told_from_abuse():
     assert not toxicity.in_quotation("you idiot", 4, 9)
 
 
-def test_hpylm_counts_and_probabilities(spark, odd, empty):
-    r = random.Random(9)
-    rows = [(i, " ".join(r.choice(["the", "of", "and", f"w{r.randrange(80)}"]) for _ in range(30))) for i in range(120)] + [(500, None), (501, ""), (502, "New Word")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = {x.doc_id: x for x in hpylm.score(df).collect()}
-    tok = {i: (t or "").encode().lower().split() + [b"\n"] for i, t in rows}
-    c = Counter(w for i, ws in tok.items() if zlib.crc32(str(i).encode()) % 5 != 1 for w in ws)
-    n, v = sum(c.values()), len(c)
-    for i, ws in tok.items():
-        base = sum(math.log10((c.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
-        x = out[i]
-        assert x.n_tokens == len(ws) and x.n_known == sum(c.get(w, 0) > 0 for w in ws) and x.train_tokens == n
-        assert math.isclose(x.base_score, base, rel_tol=1e-9) and x.score < 0
-    assert hpylm.score(odd).count() == len(ODD) and hpylm.score(empty).count() == 0
-
-
-def test_hpylm_samples_with_the_distinct_words(spark, monkeypatch):
-    # one part: the restaurants' totals are exact inside a sweep too, and the scores are those of a sampler over all rows
-    monkeypatch.setattr(hpylm, "PARTS_PER_SPLIT", 1)
-    r = random.Random(4)
-    words = [f"w{i}" for i in range(30)]
-    docs = [(i, " ".join(r.choices(words, k=60))) for i in range(60)]
-    got = {x.doc_id: x.score for x in hpylm.score(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()}
-    block = hpylm.Block()
-    for doc_id, text in docs:
-        block.add(doc_id, text)
-    rows = [x for b in block.rows(0, 1) for x in b.to_pylist()]
-    flat = hpylm._load(hpylm.pa.Table.from_pylist([x for x in rows if x["kind"] == "word"]))
-    customers = np.frombuffer(next(x["a"] for x in rows if x["kind"] == "ctx"), np.int64).astype(float)
-    samples = hpylm._samples(flat, (float(customers.sum()), customers, flat["words"]), 0)
-    log = np.log10(sum(s.probabilities(s.totals())[2] for s in samples) / hpylm.SAMPLES)[flat["at"]]
-    assert got == pytest.approx({x["doc_id"]: log[np.frombuffer(x["a"], np.uint32)].sum() for x in rows if x["kind"] == "doc"}, rel=1e-5)
-
-
-def test_hpylm_averages_three_samples():
-    assert hpylm.SAMPLES == 3
-
-
-def test_hpylm_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    word, ctx = np.repeat(np.arange(50), 4), np.tile([0, 1, 16, 40], 50)
-    n = rng.integers(0, 6, 200)
-    n[::7] = 300
-    keep = np.lexsort((ctx, word))
-    word, ctx, n = word[keep], ctx[keep], n[keep]
-    seen = int((np.bincount(word, n) > 0).sum())
-    s = hpylm.Sampler(word, ctx, n, float(n.sum()), np.bincount(ctx, n, hpylm.CONTEXTS).astype(float), seen, 0)
-    for _ in range(3):
-        s.sweep()
-    root, mid, low = s.probabilities(s.totals())
-    unseen = 1 / (seen + 1)
-    for k in (0, 1, 16, 40):
-        back = (hpylm.STRENGTH[0] + hpylm.DISCOUNT[0] * s.totals()[0][k]) / (hpylm.STRENGTH[0] + s.customers[k])
-        t = s.totals()
-        p = k // hpylm.FAMILY
-        mid_back = (hpylm.STRENGTH[1] + hpylm.DISCOUNT[1] * t[2][p]) / (hpylm.STRENGTH[1] + t[1][p])
-        root_unseen = (hpylm.STRENGTH[2] + hpylm.DISCOUNT[2] * t[4][0]) / (hpylm.STRENGTH[2] + t[3][0]) * unseen
-        present = np.bincount(word, n) > 0
-        assert abs(low[(ctx == k) & present[word]].sum() + back * mid_back * root_unseen - 1) < 1e-9
-    assert (s.t[0] <= n).all() and ((s.t[0] > 0) == (n > 0)).all()
-
-
 def test_html_held_out_pages_and_odd_ones(spark):
     m, r = html_extract.trained(), random.Random(77)
     right = 0

@@ -32,6 +32,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 BATCH_ROWS, BATCH_BYTES = "1000", "16m"
 
 
