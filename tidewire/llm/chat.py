@@ -4,14 +4,16 @@ For every participant of a conversation (every role but ``system``) the dialogue
 as ``assistant`` and the others as users that carry their names; the mask holds the spans a model would learn
 from, which are the assistant's contents with their end marks.
 
-A dialogue is rendered in parts of ``PART`` turns (by turn number), each with its start within the whole
-dialogue, so that no task ever holds a dialogue of unbounded length; up to PART turns it is one part.
-The parts of one (conversation, perspective), in order, are the whole rendering.
+A dialogue is rendered in parts of ``PART`` messages, in the order of (turn, role, text), each with its start within
+the whole dialogue. Messages are numbered by one sort of the whole table and the counts of each dialogue in its
+ranges, so no task holds a dialogue, or the messages of one turn, of unbounded length; up to PART messages a dialogue
+is one part. The parts of one (conversation, perspective), in order, are the whole rendering.
 
 Defined results: a null text is empty, a null role is the participant ``unknown``, a null turn comes last;
 rows equal in conversation, turn, role and text are one message; messages of one turn are ordered by role,
 then text; rows without conv_id belong to no dialogue; ``<|`` inside a text becomes ``< |`` so that no text
-can forge a mark; a conversation of system messages only has no perspective.
+can forge a mark; a conversation of system messages only has no perspective; an empty table gives an empty result;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,12 +21,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import table
+from tidewire.llm.common import cut, table
 
 PART = 64
 #: Parts whose lengths are summed in one window; the sums of these are summed in a second one.
 SPAN = 1024
 LAST_TURN = 9223372036854775807
+#: Shares that the speakers of a long dialogue are copied for, at most.
+SALTS = 32
+
+
+def _numbered(messages: DataFrame) -> DataFrame:
+    """``messages`` with ``k``, their place in their dialogue, from 0, and ``n``, the messages of the dialogue.
+
+    One range sort deals the table out; a range adds its own count of a dialogue to those of earlier ranges."""
+    order = ["conv_id", "turn", "role", "text"]
+    placed = messages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    placed = cut(placed)
+    # as many rows as a dialogue has ranges
+    counts = placed.groupBy("conv_id", "range").agg(F.count("*").alias("here"), F.min("at").alias("first"))
+    by = Window.partitionBy("conv_id")
+    counts = counts.withColumn("before", F.sum("here").over(by.orderBy("range")) - F.col("here")).withColumn("n", F.sum("here").over(by))
+    return placed.join(counts, ["conv_id", "range"]).withColumn("k", F.col("at") - F.col("first") + F.col("before")).select(*order, "k", "n")
 
 
 def rotate(turns: DataFrame, part: int = PART) -> DataFrame:
@@ -37,9 +55,14 @@ def rotate(turns: DataFrame, part: int = PART) -> DataFrame:
         F.coalesce("role", F.lit("unknown")).alias("role"),
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"),
     )
-    parts = clean.groupBy("conv_id", F.floor(F.col("turn") / F.lit(part)).cast("long").alias("part")).agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("m"))
-    speakers = clean.where("role <> 'system'").select("conv_id", F.col("role").alias("perspective")).distinct()
-    both = parts.join(speakers, "conv_id")
+    messages = _numbered(clean.distinct())
+    parts = messages.groupBy("conv_id", F.expr(f"k div {part}").alias("part"), "n").agg(F.array_sort(F.collect_list(F.struct("k", "turn", "role", "text"))).alias("m"))
+    parts = parts.withColumn("salt", (F.col("part") % SALTS).cast("int"))
+    # a dialogue of several parts has its speakers once for each share of them
+    speakers = messages.where("role <> 'system'").groupBy("conv_id", F.col("role").alias("perspective")).agg(F.first("n").alias("n"))
+    shares = F.least(F.lit(SALTS).cast("long"), F.expr(f"(n - 1) div {part} + 1")).cast("int")
+    speakers = speakers.select("conv_id", "perspective", F.explode(F.sequence(F.lit(0), shares - 1)).alias("salt"))
+    both = parts.join(speakers, ["conv_id", "salt"])
 
     def head(m):
         who = F.when(m["role"] == "system", "system").when(m["role"] == F.col("perspective"), "assistant").otherwise(F.concat(F.lit("user name="), m["role"]))
@@ -69,7 +92,7 @@ def _with_starts(parts: DataFrame) -> DataFrame:
     """part_start from the lengths of earlier parts, over two levels of bounded windows.
 
     Of the lengths, only those of dialogues with several parts are gone through again."""
-    sizes = parts.select("conv_id", "perspective", "part", "n_chars", F.floor(F.col("part") / SPAN).alias("span"))
+    sizes = parts.select("conv_id", "perspective", "part", "n_chars", F.expr(f"part div {SPAN}").alias("span"))
     later = sizes.where("part > 0").select("conv_id", "perspective").distinct()
     sizes = sizes.join(later, ["conv_id", "perspective"], "left_semi")
     inner = Window.partitionBy("conv_id", "perspective", "span").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -89,12 +112,13 @@ SQL = f"""
 WITH clean AS (
   SELECT DISTINCT conv_id, coalesce(turn, {LAST_TURN}) AS turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
   FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) // {PART} AS part FROM clean),
 speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM clean WHERE role <> 'system'),
 shown AS (
-  SELECT c.conv_id, s.perspective, c.turn // {PART} AS part, c.turn, c.role, c.text, c.role = s.perspective AS own,
+  SELECT c.conv_id, s.perspective, c.part, c.turn, c.role, c.text, c.role = s.perspective AS own,
     '<|im_start|>' || CASE WHEN c.role = 'system' THEN 'system' WHEN c.role = s.perspective THEN 'assistant' ELSE 'user name=' || c.role END || chr(10) AS head,
     c.text || '<|im_end|>' AS body
-  FROM clean c JOIN speakers s USING (conv_id)),
+  FROM numbered c JOIN speakers s USING (conv_id)),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM shown),
