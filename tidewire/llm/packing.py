@@ -3,18 +3,21 @@
 ``pieces`` turns every document into tokenizer pieces (long documents are cut), ``pack`` places pieces into
 sequences of at most ``capacity`` tokens.  Packing runs over shards of bounded size: each shard is packed
 best-fit-decreasing, then a local search over the underfull bins moves a document, swaps one for one or two
-for one whenever that raises the sum of squared fills, until bins empty or nothing improves.  What lies in
-bins that stay underfull goes into the next round, whose shards are few again, until one shard is left; so
-the number of underfull bins does not grow with the input.
+for one (one of either side, two of the other) whenever that raises the sum of squared fills, until nothing improves,
+or until there are no more bins than a lower bound proves necessary.  All underfull bins and all documents in them
+take part; documents of one length are interchangeable, so a bin counts by its distinct lengths.  Bins with hardly any room
+close; what lies in the others is dealt into the next round's shards, which are fewer, until one shard is left.  A
+round that does not halve the tokens left lets bins with four times the room close from then on.
 
 Defined results: a null or empty text is one piece that holds the end token alone; repeated rows are packed
-once per row; an empty table gives an empty result; equal lengths are taken in (doc_id, piece) order.
+once per row; an empty table gives an empty result; equal lengths are taken in (doc_id, piece) order; other columns
+are not read.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
+import re
 import struct
 import unicodedata
 import zlib
@@ -33,8 +36,8 @@ SHARD_TOKENS = 4_000_000
 #: Pieces that one packing shard holds at most about, for inputs of very short texts.
 SHARD_PIECES = 50_000
 END_ID = 1
-#: Local search: steps in a shard whose rest goes on to the next round, and in the last one; bins and documents of a bin that a step looks at.
-ROUNDS, LAST_ROUNDS, SWAP_BINS, SWAP_ITEMS = 40, 3000, 24, 16
+#: Exchanges that are compared in one step of array work.
+COMPARED = 1_000_000
 KEYS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,13 +61,17 @@ class WordIds:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.words = regex.compile(WORD_PATTERN).findall
-        self.odd = regex.compile(r"[^\x09-\x0d\x20-\x7e\u00a1-\u012f\u0132-\u017f\u2010-\u2027]|<\|").search
+        self.beyond = re.compile(r"[^\x09-\x0d\x20-\x7e\u00a1-\u012f\u0132-\u017f\u2010-\u2027]").search
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.known_words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    def odd(self, text: str) -> bool:
+        """Whether the library must take the text whole."""
+        return "<|" in text or self.beyond(text) is not None
+
     def _learn_words(self, new: list[str]) -> None:
         """Encode words, many in one call with spaces between; every word ends in a token that ends a word."""
         for k in range(0, len(new), 2000):
@@ -112,7 +119,7 @@ class WordIds:
             else:
                 runs[i] = unicodedata.normalize("NFC", text).lower().split()
         known = self.known
-        new = {r for r in set().union(*runs.values()) if r not in known}
+        new = set().union(*runs.values()).difference(known.keys())
         if len(known) + len(new) > CACHE_RUNS:
             known.clear()
             new = set().union(*runs.values())
@@ -162,6 +169,23 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
 
+def lower_bound(length: list[int], capacity: int) -> int:
+    """Bins that any packing needs. For every size a: documents above capacity - a share with none of size a or more, those above
+    half the capacity do not share with each other, and what is left beside them must hold the rest of size a or more."""
+    x = np.sort(np.array(length, np.int64))
+    if not len(x):
+        return 0
+    total = np.r_[0, np.cumsum(x)]
+    half = int(np.searchsorted(x, capacity // 2, "right"))
+    a = np.unique(np.r_[1, x[:half]])
+    large, from_a = np.searchsorted(x, capacity - a, "right"), np.searchsorted(x, a, "left")
+    large, from_a = np.maximum(large, half), np.minimum(from_a, half)
+    alone, beside = len(x) - large, large - half
+    room = beside * capacity - (total[large] - total[half])
+    more = np.maximum(0, -(-(total[half] - total[from_a] - room) // capacity))
+    return int((alone + beside + more).max())
+
+
 class Bins:
     """Bins of one shard: ``items[b]`` are indexes into ``length``; ``room`` finds bins by free space with one bit per size."""
 
@@ -171,6 +195,7 @@ class Bins:
         self.fill: list[int] = []
         self.room: list[set[int]] = [set() for _ in range(capacity + 1)]
         self.mask = 0
+        self.sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _place(self, b: int) -> None:
         free = self.capacity - self.fill[b]
@@ -190,6 +215,7 @@ class Bins:
         self.items[b].difference_update(out)
         self.items[b].update(into)
         self.fill[b] += sum(self.length[i] for i in into) - sum(self.length[i] for i in out)
+        self.sums.pop(b, None)
         self._place(b)
 
     def least_room(self, size: int) -> int | None:
@@ -204,16 +230,24 @@ class Bins:
             self.fill.append(0)
             b = len(self.items) - 1
         else:
-            b = min(self.room[free])
+            b = next(iter(self.room[free]))
         self.change(b, (), (i,))
 
     # -- local search ------------------------------------------------------------------------------------------
+    def _emptiest(self):
+        """Bins with room, from the one with most of it."""
+        mask = self.mask
+        while mask:
+            free = mask.bit_length() - 1
+            yield from sorted(self.room[free])
+            mask ^= 1 << free
+
     def _move(self, b: int, i: int) -> bool:
         """Move i to the tightest other bin that takes it and is, with it, fuller than b is now."""
         n = self.length[i]
         self._lift(b)
         free = self.least_room(n)
-        to = min(self.room[free]) if free is not None else None
+        to = next(iter(self.room[free])) if free is not None else None
         self._place(b)
         if to is None or self.fill[to] + n <= self.fill[b]:
             return False
@@ -221,58 +255,86 @@ class Bins:
         self.change(to, (), (i,))
         return True
 
-    def _swap(self, b: int, others: list[int]) -> bool:
-        """Give one or two of b to a fuller bin c for one or two of c's, so that c gains most and stays within capacity.
-
-        c is at least as full as b, so whatever c gains raises the sum of squares."""
-        mine = sorted(self.items[b], key=lambda i: (-self.length[i], i))[:SWAP_ITEMS]
-        give = [(i,) for i in mine] + list(itertools.combinations(mine, 2))
-        out_size = np.array([sum(self.length[i] for i in g) for g in give])
-        best = None
-        for c in others:
-            free = self.capacity - self.fill[c]
-            if best and free <= best[0]:
-                break  # others come by free space, and no gain exceeds it
-            theirs = sorted(self.items[c], key=lambda j: (self.length[j], j))[:SWAP_ITEMS]
-            back = [(j,) for j in theirs] + list(itertools.combinations(theirs, 2))
-            gain = out_size[:, None] - np.array([sum(self.length[j] for j in t) for t in back])[None, :]
-            gain[len(mine) :, len(theirs) :] = 0  # two for two is not among the exchanges
-            gain[gain > free] = 0
-            at = int(gain.argmax())
-            if gain.flat[at] > (best[0] if best else 0):
-                best = (int(gain.flat[at]), c, give[at // len(back)], back[at % len(back)])
-        if best is None:
+    def _sums(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """What one document of b may measure, and what two may, each size once."""
+        if b not in self.sums:
+            sizes = np.array(sorted(self.length[i] for i in self.items[b]))
+            one = np.unique(sizes)
+            twice = one[np.diff(np.r_[np.searchsorted(sizes, one), len(sizes)]) > 1]
+            self.sums[b] = one, np.unique(np.r_[(one[:, None] + one[None, :])[np.triu_indices(len(one), 1)], 2 * twice])
+        return self.sums[b]
+
+    def _pick(self, b: int, size: int, two: bool) -> tuple[int, ...]:
+        """One or two documents of b that measure ``size``."""
+        by_size: dict[int, int] = {}
+        for i in sorted(self.items[b]):
+            n = self.length[i]
+            if n == size and not two:
+                return (i,)
+            if two and size - n in by_size:
+                return by_size[size - n], i
+            by_size.setdefault(n, i)
+        raise LookupError(size)
+
+    def _swap(self, b: int) -> bool:
+        """Give one or two of b to a fuller bin c for one or two of c's (not two for two), so that c gains most and stays within capacity.
+
+        c is at least as full as b, so whatever c gains raises the sum of squares. Bins come by free space, which no gain exceeds."""
+        one, two = self._sums(b)
+        best = (0, -1, 0, False, 0, False)
+        others = [c for c in self._emptiest() if c != b and self.fill[c] >= self.fill[b]]
+        at = 0
+        while at < len(others) and self.capacity - self.fill[others[at]] > best[0]:
+            first, size = at, 0
+            while at < len(others) and size * (len(one) + len(two)) <= COMPARED:
+                size += sum(map(len, self._sums(others[at])))
+                at += 1
+            some = others[first:at]
+            for back_two in (False, True):
+                back = [self.sums[c][back_two] for c in some]
+                owner = np.repeat(np.arange(len(some)), [len(x) for x in back])
+                flat = np.concatenate(back)
+                free = self.capacity - np.array([self.fill[c] for c in some])[owner]
+                for give, give_two in ((one, False), (two, True)):
+                    if give_two and back_two or not len(give) or not len(flat):
+                        continue
+                    gain = give[:, None] - flat[None, :]
+                    gain[gain > free] = 0
+                    k = int(gain.argmax())
+                    if gain.flat[k] > best[0]:
+                        i, j = divmod(k, len(flat))
+                        best = (int(gain.flat[k]), some[owner[j]], int(give[i]), give_two, int(flat[j]), back_two)
+        gain, c, out, out_two, into, into_two = best
+        if not gain:
             return False
-        _, c, out, into = best
+        out, into = self._pick(b, out, out_two), self._pick(c, into, into_two)
         self.change(b, out, into)
         self.change(c, into, out)
         return True
 
-    def improve(self, rounds: int) -> None:
-        """Work on the emptiest bin: empty it into the others by moves and exchanges; stop when nothing improves.
+    def improve(self, least: int = 0) -> None:
+        """Work on the emptiest bin: empty it into the others by moves and exchanges, until nothing improves or ``least`` bins are left.
 
-        Each step raises the sum of squared fills, so it ends; ``rounds`` and ``SWAP_BINS`` bound the time of
-        one shard only, never the rows it returns."""
-        stuck: set[int] = set()
-        for _ in range(rounds):
-            under = sorted((self.fill[b], b) for s in self.room for b in s)
-            b = next((b for _, b in under if b not in stuck), None)
-            if b is None or len(under) < 2:
+        Each step raises the sum of squared fills, so it ends."""
+        used, stuck = sum(1 for x in self.items if x), set()
+        while used > least:
+            b = next((b for b in self._emptiest() if b not in stuck), None)
+            if b is None:
                 return
-            others = [c for f, c in under if f >= self.fill[b] and c != b][:SWAP_BINS]
             moved = any([self._move(b, i) for i in sorted(self.items[b], key=lambda i: (-self.length[i], i))])
-            if moved:
+            used -= not self.items[b]
+            if moved or self._swap(b):
                 stuck.clear()
-            elif not self._swap(b, others):
+            else:
                 stuck.add(b)
 
 
-def pack_lengths(length: list[int], capacity: int, rounds: int = 400) -> list[list[int]]:
+def pack_lengths(length: list[int], capacity: int) -> list[list[int]]:
     """Bins as lists of indexes. Every length is at most ``capacity``."""
     bins = Bins(length, capacity)
     for i in sorted(range(len(length)), key=lambda i: (-length[i], i)):
         bins.best_fit(i)
-    bins.improve(rounds)
+    bins.improve(lower_bound(length, capacity))
     return [sorted(x) for x in bins.items if x]
 
 
@@ -282,11 +344,11 @@ def _packer(level: int, last: bool, capacity: int, slack: int):
         length = pdf["length"].tolist()
         shard = int(key[0])
         sequence, offset = [0] * len(length), [0] * len(length)
-        for k, items in enumerate(pack_lengths(length, capacity, LAST_ROUNDS if last else ROUNDS)):
+        for k, items in enumerate(pack_lengths(length, capacity)):
             full = last or sum(length[i] for i in items) >= capacity - slack
             at = 0
             for i in items:
-                sequence[i] = ((level << 58) | (shard << 26) | k) if full else -1
+                sequence[i] = ((level << 57) | (shard << 26) | k) if full else -1
                 offset[i], at = at, at + length[i]
         return pdf[KEYS].assign(sequence_id=sequence, offset=offset)
 
@@ -296,16 +358,17 @@ def _packer(level: int, last: bool, capacity: int, slack: int):
 def pack(rows: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TOKENS, slack: int | None = None) -> DataFrame:
     """Adds sequence_id and offset to rows of (doc_id, piece, start, length, ids_crc32).
 
-    Bins with at most ``slack`` free tokens (a 64th of the capacity) close in a round; what lies in the others is packed
-    again with that of other shards, while that at least halves the tokens left: so there are few rounds."""
-    slack = capacity // 64 if slack is None else slack
+    Bins with at most ``slack`` free tokens (a thousandth of the capacity) close in a round, what lies in the others is packed again
+    with that of other shards, until all that is left fits one shard. After a round that does not halve the tokens, ``slack`` is
+    four times as large: so the rounds are few, and only bins that shards cannot fill better close with more room."""
+    slack = capacity // 1024 if slack is None else slack
     open_rows, done, level, before = cut(rows.select(*KEYS)), [], 0, None
     while True:
         n, tokens = open_rows.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         shards = max(1, math.ceil(tokens / shard_tokens), math.ceil(n / SHARD_PIECES))
-        last = shards == 1 or (before is not None and tokens > before / 2)
-        before = tokens
-
+        if before is not None and tokens > before / 2:
+            slack = max(1, 4 * slack)
+        before, last = tokens, shards == 1
         dealt = open_rows.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(level)), F.lit(shards)))
         placed = dealt.groupBy("_shard").applyInPandas(_packer(level, last, capacity, slack), PIECES + ", sequence_id long, offset long")
         if last:
@@ -313,9 +376,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TO
             break
         placed = cut(placed)
         done.append(placed.where("sequence_id >= 0"))
-        rest = placed.where("sequence_id < 0").select(*KEYS)
+        open_rows = placed.where("sequence_id < 0").select(*KEYS)
         level += 1
-        open_rows = rest
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
