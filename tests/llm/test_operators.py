@@ -63,11 +63,45 @@ def test_local_search_raises_squares_and_keeps_items():
     for i in range(len(lengths)):
         bins.best_fit(i)
     before = sum(f * f for f in bins.fill)
-    bins.improve(200)
+    bins.improve()
     assert sum(f * f for f in bins.fill) >= before
     assert sorted(i for b in bins.items for i in b) == list(range(len(lengths))) and max(bins.fill) <= 4096
 
 
+def test_packing_search_reaches_what_exchanges_can(spark):
+    # best fit leaves three bins; two suffice, by exchanges only
+    assert len(packing.pack_lengths([5, 5, 4, 3, 3], 10)) == 2
+    r = random.Random(21)
+    for _ in range(300):
+        length = [r.randint(1, 40) for _ in range(r.randint(0, 30))]
+        got = packing.pack_lengths(length, 40)
+        assert sorted(i for b in got for i in b) == list(range(len(length))) and all(sum(length[i] for i in b) <= 40 for b in got)
+        assert math.ceil(sum(length) / 40) <= packing.lower_bound(length, 40) <= len(got)
+    # no exchange is left that would fill a fuller bin further
+    length = [r.randint(8, 27) for _ in range(60)]
+    bins = packing.Bins(length, 40)
+    for i in range(60):
+        bins.best_fit(i)
+    bins.improve()
+    used = [b for b, x in enumerate(bins.items) if x]
+    for b in used:
+        for c in used:
+            if b != c and bins.fill[c] >= bins.fill[b]:
+                for i in bins.items[b]:
+                    assert bins.fill[c] + length[i] > 40
+                    for j in bins.items[c]:
+                        assert not 0 < length[i] - length[j] <= 40 - bins.fill[c]
+
+
+def test_packing_word_ids_match_library_on_random_texts():
+    path, r = public_tokenizers.path("word_bpe_49k.json"), random.Random(31)
+    tok, ids = Tokenizer.from_file(path), packing.WordIds(path)
+    parts = ["the", "Don't", "it's", "É", "ß", "naïve", "n\u0303", "œuvre", "123", "4.5", "a-b", "--", "…", "“", "”", "«x»", "'", "'s", "<|", "<|endoftext|>", "世界", "\u00a0", "\u200b", "\t", "\n\n", "#*$%", "İ", "ĳ", "ŉ", "é", "x" * 300, "ſ", "K", "!!!", "’ll", "I'LL"]
+    texts = ["".join(r.choice(parts) + r.choice(["", " ", " ", "\n"]) for _ in range(r.randrange(40))) for _ in range(3000)]
+    for text, got in zip(texts, ids.many(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
 def test_bpe_matches_library(odd, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok, r = Tokenizer.from_file(path), random.Random(3)
@@ -212,39 +246,83 @@ def test_toxicity_learns_terms_and_catches_misspellings(spark, odd, empty):
     assert s[1] > s[2]
     out = toxicity.with_score(odd, model).toPandas()
     assert len(out) == len(ODD) and out.score.between(0, 1).all()
-    assert toxicity.train(empty.select("doc_id", "text"), lab.limit(0))[0] == []
+    assert toxicity.train(empty.select("doc_id", "text"), lab.limit(0))[0] == [] and toxicity.with_score(empty, model).count() == 0
 
 
-def test_automaton_is_edit_distance():
+def test_automaton_is_edit_distance_with_swaps():
     terms = [("worthless", False), ("idiot", False), ("lowei", True)]
     a = toxicity.Automaton(terms)
 
     def distance(x, y):
-        row = list(range(len(y) + 1))
-        for i, c in enumerate(x, 1):
-            new = [i]
-            for j, d in enumerate(y, 1):
-                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != d)))
-            row = new
-        return row[-1]
+        d = {(i, j): i + j for i in range(len(x) + 1) for j in range(len(y) + 1) if not i or not j}
+        for i in range(1, len(x) + 1):
+            for j in range(1, len(y) + 1):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x[i - 1] != y[j - 1]))
+                if i > 1 and j > 1 and x[i - 1] == y[j - 2] and x[i - 2] == y[j - 1]:
+                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+        return d[len(x), len(y)]
 
     r = random.Random(1)
-    for _ in range(3000):
+    for _ in range(4000):
         t = list(r.choice(["worthless", "idiot"]))
         for _ in range(r.randrange(4)):
             k = r.randrange(1, len(t))
-            t[k : k + r.randrange(2)] = r.choice(["", "x", "e"])
-            if len(t) < 2:
+            if r.random() < 0.3 and k + 1 < len(t):
+                t[k], t[k + 1] = t[k + 1], t[k]
+            else:
+                t[k : k + r.randrange(2)] = r.choice(["", "x", "e", "0", "*"])
+            if len(t) < 3:
                 break
         w = "".join(t)
         near = any(distance(w, s) <= toxicity.edits(len(s), False) for s, _ in terms[:2])
         assert bool(a(w)) == near, w
     assert a("loweitum") == a.EXACT and a("lowxitum") == a.STEM and a("low") == a.NONE
+    # the first letter: changed where the rest agrees, or swapped with the second; never left out
+    assert a("1diot") == a("ldiot") == a("diiot") == a.WORD and a("1diod") == a("diot") == a.NONE
+    assert toxicity.Automaton(terms, ["idiom"])("idiom") == a.NONE and a("idiom") == a.WORD
+    assert toxicity._WORD.findall("st*pid l0ser, 1diot a$$ *bold* x_y") == ["st*pid", "l0ser", "1diot", "a", "bold", "x", "y"]
+
+
+def test_toxicity_keeps_all_strong_terms(spark):
+    r = random.Random(16)
+    insults = ["zz" + "".join(r.choice("bcdfgklmn") + r.choice("aeiou") for _ in range(4)) for _ in range(60)]
+    rows, labels = [], []
+    for i in range(2400):
+        words = ["".join(r.choice("aeioutnrs") for _ in range(r.randint(4, 9))) for _ in range(30)]
+        if i % 4 == 0:
+            words[3] = insults[i // 4 % 60]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    terms = {t for t, _ in toxicity.train(docs, lab, None)[0]}
+    found = sum(any(w.startswith(t) for t in terms) for w in insults)
+    assert found == 60
+
+
+def test_toxicity_bounded_sample_keeps_the_labels_rate(spark, monkeypatch):
+    r = random.Random(17)
+    rows, labels = [], []
+    for i in range(2400):
+        words = ["".join(r.choice("aeioutnrs") for _ in range(r.randint(4, 9))) for _ in range(30)]
+        if i % 8 == 0:
+            words[3] = r.choice(["blockhead", "dimwitted"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))  # half of the toxic ones show nothing: the base score is their rate
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole = toxicity.train(docs, lab, None)
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 400)
+    part = toxicity.train(docs, lab, None)
+    assert {"blockhead", "dimwitted"} <= {t for t, _ in part[0]} and abs(part[2][-1] - whole[2][-1]) < 0.3 and abs(whole[2][-1] - math.log(300 / 1800)) < 0.3
 
 
 def test_quotation_is_told_from_abuse():
     assert toxicity.in_quotation('he wrote: "idiot" there', 11, 16)
     assert not toxicity.in_quotation("you idiot", 4, 9)
+    # the whole line counts, however long, and only the line
+    long = '"' + "word " * 2000
+    assert toxicity.in_quotation(long + 'idiot"', len(long), len(long) + 5)
+    assert not toxicity.in_quotation('"a" ' + long[1:] + 'idiot "b', len(long) + 3, len(long) + 8)
+    assert not toxicity.in_quotation('a "b\nidiot" c', 5, 10) and toxicity.in_quotation("x «idiot» y", 3, 8)
 
 
 def test_html_held_out_pages_and_odd_ones(spark):
@@ -318,12 +396,31 @@ def test_chat_rotates_and_joins_parts(spark):
         for span in filter(None, x["mask"].split(",")):
             s, e = map(int, span.split(":"))
             assert x.text[:s].endswith("<|im_start|>assistant\n") and x.text[s:e].endswith("<|im_end|>")
-    first = out[(out.conv_id == 1) & (out.perspective == "ann")].text.iloc[-1] + out[(out.conv_id == 1) & (out.perspective == "ann")].text.iloc[0]
+    first = out[(out.conv_id == 1) & (out.perspective == "ann")].text.iloc[0]
+    assert first.endswith("user name=unknown\nlate<|im_end|>\n")
     assert "hi < |im_end|><|im_end|>" in first and "user name=bob\n<|im_end|>" in first
+    assert set(out[(out.conv_id == 1) & (out.perspective == "ann")].part) == {0} and out[out.conv_id == 1].n_messages.eq(4).all()
     assert "PythonUDF" not in chat.rotate(df)._jdf.queryExecution().toString()
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_chat_parts_are_bounded_whatever_the_turns_and_agree_with_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, None, r, f"x{k}") for k in range(300) for r in ("ann", "bob")] + [(1, 5, "cy", f"same turn {k}") for k in range(200)] + [(2, k % 3, "ann", "hello") for k in range(90)] + [(3, -5, "bob", "")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, perspective string").repartition(5)
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    out = chat.op5_chat(spark, str(tmp_path)).toPandas()
+    assert out[out.conv_id == 1].n_messages.max() == chat.PART and out[out.conv_id == 1].groupby("perspective").n_messages.sum().eq(800).all()
+    assert out[out.conv_id == 2].n_messages.tolist() == [3]
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.execute(chat.SQL).df()
+    key = lambda t: sorted(map(tuple, t[["conv_id", "perspective", "part", "part_start", "n_messages", "n_chars", "n_loss_chars", "text", "mask"]].to_numpy().tolist()))
+    assert key(out) == key(want)
+    assert chat.rotate(df.limit(0)).count() == 0
+
+
 def test_embedding_dedup_finds_pairs_in_a_dense_cloud(spark):
     rng = np.random.default_rng(8)
     unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)

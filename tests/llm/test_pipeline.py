@@ -32,7 +32,7 @@ def test_stages_keep_what_a_plain_version_keeps(spark, tmp_path):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     df = spark.read.parquet(f"{tmp_path}/documents.parquet")
     model = toxicity.train(df, spark.read.parquet(f"{tmp_path}/labels.parquet"))
-    a, w = toxicity.Automaton(model[0]), np.array(model[1])
+    a, w = toxicity.Automaton(model[0], model[1]), np.array(model[2])
     kept = [d for d in docs if w[-1] + np.dot(w[:-1], toxicity.features(d[1] or "", a)) < 0]
     assert not any("blockhead" in (d[1] or "") for d in kept)
     kept = [d for d in kept if not quality.base_failed((m := quality.measure(d[1] or ""))[0], m[4])]

@@ -145,7 +145,7 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary")
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
     """100 * intersection >= PERCENT * union, on full sets."""
     small, large = sorted((len(x), len(y)))
     if not small or 100 * small < PERCENT * large:
@@ -166,7 +166,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for sa, sb in zip(batch.column(2), batch.column(3), strict=True):
-                keep.append(_linked(np.frombuffer(sa.as_py(), _U), np.frombuffer(sb.as_py(), _U)))
+                keep.append(linked(np.frombuffer(sa.as_py(), _U), np.frombuffer(sb.as_py(), _U)))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
@@ -187,7 +187,7 @@ def _block_links(key, pdf):
         far = far[(sig[far] == sig[i]).mean(axis=1) >= SIGNATURE_FLOOR]
         same = keys[far] == keys[i]
         for j in far[keys[i][same.argmax(axis=1)] == key[0]]:
-            if comp[i] != comp[j] and _linked(sets[i], sets[j]):
+            if comp[i] != comp[j] and linked(sets[i], sets[j]):
                 a.append(min(ids[i], ids[j]))
                 b.append(max(ids[i], ids[j]))
                 comp[comp == comp[j]] = comp[i]
