@@ -1,12 +1,13 @@
 """Helpers shared by the training-data operators.
 
 Rules that every operator here follows: only the columns it names are read from its input (so extra columns
-and clashing names do no harm), a null text counts as an empty one, and intermediate tables that are read
+and clashing names do no harm), a null text counts as an empty one, an empty table gives an empty result, and intermediate tables that are read
 more than once are cut with ``DataFrame.checkpoint`` into the folder of ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -16,10 +17,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the session's own setting; a local one only where none is set (tests)."""
+    """The shared folder for checkpoints: the session's own setting. A temporary one only where none is set and driver and
+    executors are one process; on a cluster without the setting this is an error, as executors share no local folder."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="tidewire-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)

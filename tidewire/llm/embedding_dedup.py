@@ -12,8 +12,8 @@
    component, whatever its size.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
-label, link with nothing; vectors of different length never link; repeated rows of one vec_id count as one
-vector; an empty table gives an empty result.
+label, link with nothing; vectors of different length never link; rows of one vec_id count as one vector, the
+smallest by (label, components) where they differ; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -127,7 +127,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     """Per vector: vec_id, n_links, component_id, kept."""
     spark = rows.sparkSession
     src = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"), F.col(label_col).cast("string").alias("label"))
-    src = cut(src.dropDuplicates(["vec_id"]))
+    src = cut(src.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("x")).select("vec_id", "x.label", "x.v"))
     finite = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = src.where(F.col("v").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
     good = good.withColumn("set", F.xxhash64("label", F.size("v"))).withColumn("key", F.xxhash64("label", "v"))

@@ -7,16 +7,20 @@
 3. Each bucket links its members to its smallest member only (rows grow with the members, not with pairs);
    these pairs are verified on full sets and joined to components.
 4. Buckets that still hold several components get every pair across components looked at: small buckets by
-   pairs, larger ones in tasks of at most 2 * ``BLOCK`` members, where a pair whose signatures nearly agree (six
-   standard deviations under 0.75) is verified on the full sets at once, in the first band it shares; only links
-   leave a task. This is exact for whatever shared a bucket, with no cap on its size.
+   pairs, larger ones in tasks of at most 2 * ``BLOCK`` members, by signatures first. Only members that nearly agree with
+   another in a signature (six standard deviations under 0.75) go on with their full sets; there a pair is verified
+   in the first band it shares, and only links leave a task. This is exact for whatever shared a bucket, with no cap
+   on its size.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing; repeated
-rows give repeated results; rows of one doc_id take their smallest component; a null doc_id is its own, unlinked.
+rows give repeated results; rows of one doc_id take their smallest component, and where their texts differ, the one whose
+set has the smallest digest is compared in step 4; a null doc_id is its own, unlinked; an empty table gives an empty
+result; other columns are not read; a text of any length is one row, its shingles some eight bytes a word.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,8 @@ SMALL, BLOCK = 24, 512
 SIGNATURE_FLOOR = 0.75 - 6 * (0.75 * 0.25 / HASHES) ** 0.5
 #: Up to this many ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: Classes of equal sets above this many documents, and above this share of all, are broadcast: 1 / HEAVY_SHARE of them at most.
+HEAVY, HEAVY_SHARE = 1000, 1e-5
 SALTS = 32
 CACHE_WORDS = 400_000
 
@@ -172,21 +178,38 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _block_links(key, pdf):
-    """Links between strays and members of one block of a bucket, verified on full sets.
-
-    A pair is looked at in the first band that it shares only; what a link has joined here needs no second link."""
+def _open_pairs(key, pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Each stray of one block of a bucket with the members that it is to be verified with: of another component, near
+    by signature, in the first band that they share."""
     ids, comp, stray = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["stray"].to_numpy()
     sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
     keys = np.array(pdf["keys"].tolist(), dtype=np.int64)
-    sets = [np.frombuffer(x, _U) for x in pdf["s"]]
     home, strays = np.flatnonzero(pdf["place"] == 0), np.flatnonzero(pdf["place"] == 1)
-    a, b = [], []
     for i in strays:
         far = home[(comp[home] != comp[i]) & (~stray[home] | (ids[home] > ids[i]))]
         far = far[(sig[far] == sig[i]).mean(axis=1) >= SIGNATURE_FLOOR]
-        same = keys[far] == keys[i]
-        for j in far[keys[i][same.argmax(axis=1)] == key[0]]:
+        if len(far):
+            same = keys[far] == keys[i]
+            far = far[keys[i][same.argmax(axis=1)] == key[0]]
+        if len(far):
+            yield i, far
+
+
+def _near_members(key, pdf):
+    """The rows of one block that take part in any pair to be verified."""
+    needed = np.zeros(len(pdf), bool)
+    for i, far in _open_pairs(key, pdf):
+        needed[i] = needed[far] = True
+    return pdf[needed]
+
+
+def _block_links(key, pdf):
+    """Links of one block, verified on full sets; what a link has joined here needs no second link."""
+    ids, comp = pdf["id"].to_numpy(), pdf["component"].to_numpy().copy()
+    sets = [np.frombuffer(x, _U) for x in pdf["s"]]
+    a, b = [], []
+    for i, far in _open_pairs(key, pdf):
+        for j in far:
             if comp[i] != comp[j] and linked(sets[i], sets[j]):
                 a.append(min(ids[i], ids[j]))
                 b.append(max(ids[i], ids[j]))
@@ -206,21 +229,23 @@ def _across(members: DataFrame, comp: DataFrame, sigs: DataFrame, sets: DataFram
     few = few.select(F.explode(F.flatten(F.transform("x", lambda p: F.transform(F.filter("x", lambda q: (q["id"] > p["id"]) & (q["component"] != p["component"])), lambda q: F.struct(p["id"].alias("a"), q["id"].alias("b")))))).alias("p")).select("p.a", "p.b")
     few = verified(few.distinct().join(tested, ["a", "b"], "left_anti"), sets)
     many = m.where(f"n > {SMALL}").withColumn("stray", F.col("component") != F.col("main"))
-    many = many.join(sigs.select(F.col("doc_id").alias("id"), "sig", "keys"), "id").join(sets, "id")
+    many = many.join(sigs, "id")
     homes, parts = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("strays") / BLOCK)
     deal = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     home = many.withColumn("place", F.lit(0)).withColumn("home", F.pmod(F.xxhash64("id"), homes)).withColumn("part", deal(parts))
     strays = many.where("stray").withColumn("place", F.lit(1)).withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), parts)).withColumn("home", deal(homes))
-    dealt = home.unionByName(strays).select("bucket", "home", "part", "place", "id", "component", "stray", "sig", "keys", "s")
-    return few.unionByName(dealt.groupBy("bucket", "home", "part").applyInPandas(_block_links, "a long, b long"))
+    dealt = home.unionByName(strays).select("bucket", "home", "part", "place", "id", "component", "stray", "sig", "keys")
+    near = dealt.groupBy("bucket", "home", "part").applyInPandas(_near_members, dealt.schema)
+    return few.unionByName(near.join(sets, "id").groupBy("bucket", "home", "part").applyInPandas(_block_links, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     sigs = cut(signatures(docs, id_col, text_col))
     full = sigs.where("set_key is not null and doc_id is not null")
-    classes = full.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = full.select("doc_id", "set_key", "keys", "sig").join(classes, [full.set_key == classes.set_key, full.doc_id == classes.rep], "left_semi")
+    followers = cut(_followers(full.select("doc_id", "set_key")))
+    few = followers.count() <= BROADCAST_IDS
+    reps = full.select("doc_id", "set_key", "keys", "sig").join(F.broadcast(followers) if few else followers, ["doc_id", "set_key"], "left_anti")
     reps = reps.dropDuplicates(["doc_id", "set_key"])
     rows = reps.select(F.col("doc_id").alias("id"), F.explode("keys").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("head")).where("n > 1")
@@ -228,18 +253,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = cut(members.where("id > head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
     sets = cut(_sets(docs, members.select("id").distinct(), id_col, text_col))
     links = cut(verified(stars, sets))
-    more = _across(members.select("bucket", "id").distinct(), components(links), reps.dropDuplicates(["doc_id"]), sets, stars)
+    one = reps.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("set_key", "sig", "keys")).alias("x")).select("id", "x.sig", "x.keys")
+    more = _across(members.select("bucket", "id").distinct(), components(links), one, sets, stars)
     links = cut(links.unionByName(more))
     comp = components(links)
-    # rows of one doc_id with different texts take the smallest of their components
-    own = full.join(classes, "set_key").select("doc_id", "rep")
-    node = own.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
-    node = node.groupBy("doc_id").agg(F.min("component").alias("component"))
+    # rows of one doc_id with different texts take the smallest of their components; ids that neither follow nor link are their own
+    follow = followers.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
+    node = comp.select(F.col("id").alias("doc_id"), "component").unionByName(follow).groupBy("doc_id").agg(F.min("component").alias("component"))
     out = sigs.select("doc_id", "n_shingles").join(node, "doc_id", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.least(F.coalesce("component", "doc_id"), "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
+def _followers(full: DataFrame) -> DataFrame:
+    """(doc_id, set_key, rep): documents whose set another document has, and which is not the smallest of these, rep.
+
+    Very large classes are met by a broadcast, so no key with more than some documents is shuffled."""
+    classes = cut(full.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("last > rep"))
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    heavy = max(HEAVY, math.ceil(total * HEAVY_SHARE))
+    large = classes.where(F.col("n") > heavy).select("set_key", "rep")
+    light = classes.where(F.col("n") <= heavy).select("set_key", F.col("rep").alias("light"))
+    both = full.join(F.broadcast(large), "set_key", "left")
+    met = both.where("rep is not null").unionByName(both.where("rep is null").drop("rep").join(light, "set_key").withColumnRenamed("light", "rep"))
+    return met.where("doc_id <> rep").select("doc_id", "set_key", "rep").distinct()
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of every document of ``documents``."""
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))

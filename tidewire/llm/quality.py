@@ -7,10 +7,14 @@ rule's cutoff by fixed-sequence testing, from the mildest cutoff on: a cutoff is
 binomial (Clopper-Pearson) upper bound of its rate of good documents rejected stays at or under
 ``RISK / rules``, at confidence ``1 - DELTA / (strata * rules)`` (Bonferroni; within a rule the fixed sequence
 needs no correction).  So with probability 1 - DELTA no stratum loses more than RISK of its good documents to
-the learned cutoffs.  A stratum with too few labels gets none.
+the learned cutoffs.  A stratum with too few labels gets none.  The bound wants independent rows: labelled documents
+that fail the base limits are left out, and so are copies: of documents that share any of ``COPY_KEYS`` shingle minima
+one counts, the one with the smallest id (a copy at similarity 0.75 slips through with probability 0.25 ** COPY_KEYS).
 
 Defined results: null and empty texts have no words and fail the base limits; a null language is a stratum of
-its own; a document with several labels counts as good only if all are; repeated rows give repeated results.
+its own; a document with several labels counts as good only if all are; repeated rows give repeated results; ids
+that are repeated or null teach nothing twice, or nothing; without labels only the base limits hold; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,11 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import cut, fold, hold_caches, table
+from tidewire.llm.minhash import ADD, MUL, forget, shingles
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 RISK, DELTA, RULES_PER_STRATUM, BINS = 0.02, 0.1, 4, 100
 #: More strata than this and their cutoffs are joined by a shuffle instead of a broadcast.
 BROADCAST_STRATA = 10_000
+COPY_KEYS = 4
 SYMBOLS = "#*$%&|<>"
 RULES = ("symbols", "dup_lines", "repeats", "top_word", "no_letter", "long_words", "short_words", "few_distinct", "pipes", "digits", "open_lines")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -148,12 +154,35 @@ def stratum(column: str = "lang"):
     return F.coalesce(F.col(column), F.lit("∅"))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, strata_col: str = "lang") -> DataFrame:
-    """stratum, cut (array of RULES' cutoffs), from measured documents (doc_id, lang, severity) and labels (doc_id, quality).
+def copy_keys(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """doc_id, copy_keys: minima of COPY_KEYS orders of the text's shingles; null without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_caches("quality", forget)
+        for b in batches:
+            keys = [(s[:, None] * MUL[:COPY_KEYS] + ADD[:COPY_KEYS]).min(axis=0).view(np.int64) if len(s := shingles(t.as_py() or "")) else None for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "copy_keys"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, copy_keys array<long>")
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that have a quality label."""
+    return docs.join(labels.where("quality is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, keys: DataFrame | None = None, strata_col: str = "lang") -> DataFrame:
+    """stratum, cut (array of RULES' cutoffs), from measured documents (doc_id, lang, counts, severity), labels (doc_id, quality)
+    and ``copy_keys`` of the labelled ones.
 
     What reaches a task is a stratum's histogram, of a fixed size at most."""
     good = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_good"))
-    lab = measured.select("doc_id", stratum(strata_col).alias("stratum"), "severity").join(good, "doc_id")
+    lab = measured.where(~_base_failed()).select("doc_id", stratum(strata_col).alias("stratum"), "severity").join(good, "doc_id").dropDuplicates(["doc_id"])
+    if keys is not None:
+        lab = lab.join(keys.where("copy_keys is not null").groupBy("doc_id").agg(F.min("copy_keys").alias("copy_keys")), "doc_id")
+        for k in range(COPY_KEYS):
+            lab = lab.groupBy("stratum", F.col("copy_keys")[k].alias("_key")).agg(F.min_by(F.struct("doc_id", "severity", "_good", "copy_keys"), "doc_id").alias("x")).select("stratum", "x.*")
+        lab = cut(lab)
     held = (fold("doc_id", 2) == 0).cast("int")
     hist = (
         lab.select("stratum", held.alias("held"), F.col("_good").cast("long").alias("_good"), F.posexplode("severity").alias("rule", "s"))
@@ -169,6 +198,10 @@ def cutoffs(measured: DataFrame, labels: DataFrame, strata_col: str = "lang") ->
     return cut(hist.groupBy("stratum").applyInPandas(pick, "stratum string, cut array<double>"))
 
 
+def _base_failed():
+    return (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
+
+
 def judged(measured: DataFrame, chosen: DataFrame, strata_col: str = "lang") -> DataFrame:
     """``measured`` with base_failed, failed_rules and kept."""
     few = chosen.count() <= BROADCAST_STRATA
@@ -178,15 +211,16 @@ def judged(measured: DataFrame, chosen: DataFrame, strata_col: str = "lang") ->
     names = F.array(*map(F.lit, RULES))
     hit = F.zip_with("severity", F.coalesce("cut", F.array_repeat(F.lit(2.0), len(RULES))), lambda s, c: F.floor(s * BINS) >= F.round(c * BINS))
     failed = F.filter(F.zip_with(names, hit, lambda n, h: F.when(h, n)), lambda x: x.isNotNull())
-    base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     return (
-        out.withColumn("base_failed", base).withColumn("failed_rules", failed)
+        out.withColumn("base_failed", _base_failed()).withColumn("failed_rules", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_stratum", "cut")
     )
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document of ``documents``, cutoffs from ``labels``."""
-    measured = cut(with_measures(table(spark, sf_dir, "documents", "doc_id", "lang", "text"), ["doc_id", "lang"]))
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    measured = cut(with_measures(docs, ["doc_id", "lang"]))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return judged(measured, cutoffs(measured, labels)).select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+    chosen = cutoffs(measured, labels, copy_keys(labelled(docs, labels)))
+    return judged(measured, chosen).select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
