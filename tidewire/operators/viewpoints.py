@@ -1,120 +1,94 @@
 """Viewpoint groups inside one stance, and the enrichment of whole issues.
 
-Claims are the last evidence sentences without their reporting tails; hard splits follow the conclusion's act, the rest
-is grouped by the encoder's similarity. Labels are the group's act with its subject, at most eight letters."""
+Claims are the last evidence sentences without their reporting tails; hard splits follow feelings and wishes, or the
+conclusion's act; the rest is grouped by the encoder's similarity. A group is named after the claim that says most."""
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.operators.clustering import best_split
 from tidewire.operators.vectors import hashed_grams
+from tidewire.operators.viewpoint_labels import act, claim, feeling, for_comparison, reason, short_label
 
-MAX_GROUPS, MAX_LABEL, ONE_GROUP, SAME_REASON, DIM = 3, 8, 0.55, 0.75, 256
-DEFAULT_LABEL = "기타 관점"
+MAX_GROUPS, ONE_GROUP, SAME_REASON, DIM = 3, 0.55, 0.75, 256
+#: Letters of a claim that count when claims say equally much.
+CLAIM_CHARS = 60
 
-# Fallback labels, acts of conclusions in the order in which they are tried, reporting tails, particles.
+# Labels of articles without evidence.
 FALLBACK = {"positive": "기타 긍정 관점", "neutral": "기타 중립 관점", "negative": "기타 부정 관점"}
-ACTS = (
-    ("폐기", r"폐기"), ("수정", r"수정"), ("철회", r"철회"), ("중단", r"중단"), ("취소", r"취소"), ("사퇴", r"사퇴|퇴진|물러나"), ("탄핵", r"탄핵"), ("축소", r"축소|줄이|줄여"), ("확대", r"확대|늘리|늘려"),
-    ("유지", r"유지"), ("금지", r"금지"), ("허용", r"허용"), ("개정", r"개정"), ("도입", r"도입"), ("시행", r"시행"), ("추진", r"추진"), ("공급", r"공급"), ("조성", r"조성"),
-)
-TAILS = (
-    (r"다는\s*(?:비판|우려|평가|지적|분석|주장|입장)(?:이|가)?(?:\s*(?:나왔다|제기됐다|이어졌다|있다|이다|전해졌다))?[.!?]*$", "다"),
-    (r"다고\s*(?:말했다|밝혔다|설명했다|강조했다|주장했다|평가했다|지적했다|비판했다|전했다|했다)[.!?]*$", "다"),
-    (r"(?:라는|이라고|라고)\s*(?:비판|우려|평가|지적|분석|주장|입장)(?:이|가)?(?:\s*(?:나왔다|제기됐다|이어졌다|있다|이다|전해졌다))?[.!?]*$", ""),
-    (r"\s*(?:비판|우려|평가|지적|분석|주장|입장)(?:이|가)?\s*(?:나왔다|제기됐다|있다|이다)?[.!?]*$", ""),
-)
-PARTICLES = ("으로", "에서", "에게", "께서", "까지", "부터", "처럼", "보다", "은", "는", "이", "가", "을", "를", "의", "에", "로", "와", "과", "도", "만")
-
-
-def claim(text: str) -> str:
-    """The last sentence without its reporting tail."""
-    parts = [p for p in re.split(r"(?<=[.!?])\s+", " ".join((text or "").split())) if p]
-    out = parts[-1] if parts else ""
-    for p, by in TAILS:
-        out = re.sub(p, by, out)
-    return out.strip(" .!?")
-
-
-def act(text: str) -> str | None:
-    return next((name for name, p in ACTS if re.search(p, text)), None)
-
-
-def act_column(c: Column) -> Column:
-    """The first act of the list that a text names."""
-    return F.coalesce(*[F.when(c.rlike(p), name) for name, p in ACTS])
-
-
-def bare(token: str) -> str:
-    return next((token[: -len(p)] for p in PARTICLES if token.endswith(p) and len(token) - len(p) >= 2), token)
-
-
-def short_label(text: str, event: str) -> str:
-    """The act with the word before it that the event's name does not hold, when both fit; the act; or the default."""
-    known = {bare(t) for t in re.findall(r"[0-9A-Za-z가-힣]+", event)}
-    words = [bare(t) for t in re.findall(r"[0-9A-Za-z가-힣]+", text)]
-    name = act(text)
-    if name is None:
-        return DEFAULT_LABEL
-    at = next((i for i, w in enumerate(words) if re.search(dict(ACTS)[name], w)), 0)
-    subject = next((w for w in reversed(words[:at]) if len(w) >= 2 and w not in known), "")
-    both = f"{subject} {name}".strip()
-    return both if len(both) <= MAX_LABEL else name
-
-
-def split_by_similarity(vectors: np.ndarray, most: int) -> np.ndarray:
-    """One group when all pairs are similar enough; two texts split under the bound; more by k-means and silhouette."""
-    if len(vectors) == 1 or most < 2:
-        return np.zeros(len(vectors), int)
-    sims = (vectors @ vectors.T)[np.triu_indices(len(vectors), 1)]
-    if (sims >= ONE_GROUP).all():
-        return np.zeros(len(vectors), int)
-    return np.arange(2) if len(vectors) == 2 else best_split(vectors.astype(np.float64), most)
-
-
-def group_claims(claims: list[str], encode_fn: Callable[[list[str], int], np.ndarray] = hashed_grams, most: int = MAX_GROUPS) -> list[int]:
-    """Group numbers: one group an act when there are two acts or more (up to ``most``), texts without an act fill the
-    groups that are left or join the most similar one; without acts all are split by similarity."""
-    acts = [act(c) for c in claims]
-    kinds = list(dict.fromkeys(a for a in acts if a))[:most]
-    vectors = encode_fn(claims, DIM)
-    if len(kinds) < 2:
-        return split_by_similarity(vectors, most).tolist()
-    out = [kinds.index(a) if a in kinds else -1 for a in acts]
+
+Encoder = Callable[[list[str], int], np.ndarray]
+
+
+def split_by_similarity(texts: list[str], encode_fn: Encoder, most: int) -> list[int]:
+    """One group when all pairs are similar enough (of two texts, their reasons too, where both give one); two others split; more
+    are split by k-means and silhouette."""
+    if len(texts) < 2 or most < 2:
+        return [0] * len(texts)
+    vectors = encode_fn(texts, DIM)
+    near = (vectors @ vectors.T)[np.triu_indices(len(texts), 1)] >= ONE_GROUP
+    if len(texts) > 2:
+        return [0] * len(texts) if near.all() else best_split(vectors.astype(np.float64), most).tolist()
+    reasons = [r for t in texts if (r := reason(t))]
+    if near.all() and len(reasons) == 2:
+        x = encode_fn(reasons, DIM)
+        near = np.array([x[0] @ x[1] >= SAME_REASON])
+    return [0, 0] if near.all() else [0, 1]
+
+
+def group_claims(contents: list[str], encode_fn: Encoder = hashed_grams, most: int = MAX_GROUPS, event: str = "") -> list[int]:
+    """Group numbers of evidence texts: one group a feeling where there are two or more, else one an act, if these are two to ``most``;
+    texts without one fill the groups that are left or join the text that is most similar. Else all are split by similarity."""
+    texts = [for_comparison(c, event) for c in contents]
+    keys = [feeling(c) for c in contents]
+    if len({k for k in keys if k}) < 2:
+        keys = [act(c) for c in contents]
+    kinds = list(dict.fromkeys(k for k in keys if k))
+    if not 2 <= len(kinds) <= most:
+        return split_by_similarity(texts, encode_fn, most)
+    out = [kinds.index(k) if k else -1 for k in keys]
     loose = [i for i, g in enumerate(out) if g < 0]
-    free = most - len(kinds)
-    if loose and free:
-        for i, g in zip(loose, split_by_similarity(vectors[loose], free), strict=True):
-            out[i] = len(kinds) + int(g)
+    if loose and most > len(kinds):
+        for i, g in zip(loose, split_by_similarity([texts[i] for i in loose], encode_fn, most - len(kinds)), strict=True):
+            out[i] = len(kinds) + g
     elif loose:
-        mean = np.array([vectors[[j for j, g in enumerate(out) if g == k]].mean(axis=0) for k in range(len(kinds))])
-        for i in loose:
-            out[i] = int((mean @ vectors[i]).argmax())
+        known = [i for i, g in enumerate(out) if g >= 0]
+        vectors = encode_fn(texts, DIM)
+        for i, at in zip(loose, (vectors[loose] @ vectors[known].T).argmax(axis=1), strict=True):
+            out[i] = out[known[at]]
     return out
 
 
-def labels(articles: list[dict], event: str, encode_fn: Callable[[list[str], int], np.ndarray] = hashed_grams) -> dict[str, str]:
-    """article_id -> label of (article_id, stance, evidence) dicts; a group is named after its longest claim."""
+def group_label(contents: list[str], event: str) -> str:
+    """The label of the claim with most different words besides the event's; longer, then earlier ones win."""
+    claims = list(dict.fromkeys(filter(None, map(claim, contents))))
+    said = lambda c: (len({w for w in for_comparison(c, event).split() if len(w) > 1}), min(len(c), CLAIM_CHARS))
+    return short_label(max(claims, key=said), event) if claims else short_label("", event)
+
+
+def labels(articles: list[dict], event: str, encode_fn: Encoder = hashed_grams) -> dict[str, str]:
+    """article_id -> label of (article_id, stance, evidence) dicts."""
     out = {}
     by_stance = defaultdict(list)
     for a in articles:
-        by_stance[a["stance"]].append(a)
+        by_stance[a["stance"]].append((a["article_id"], " ".join(a["evidence"]).strip()))
     for stance, rows in by_stance.items():
-        able = [(a["article_id"], claim(" ".join(a["evidence"]))) for a in rows if len(a["evidence"])]
-        able = [(i, c) for i, c in able if c]
+        able = [(i, c) for i, c in rows if c]
         # an article without evidence takes the fallback, which counts as a group
-        groups = group_claims([c for _, c in able], encode_fn, MAX_GROUPS - (len(able) < len(rows))) if able else []
-        names = {g: short_label(max((c for (_, c), h in zip(able, groups, strict=True) if h == g), key=len), event) for g in set(groups)}
-        found = dict(zip((i for i, _ in able), (names[g] for g in groups), strict=True))
-        out.update((a["article_id"], found.get(a["article_id"], FALLBACK[stance])) for a in rows)
+        groups = group_claims([c for _, c in able], encode_fn, MAX_GROUPS - (len(able) < len(rows)), event) if able else []
+        members = defaultdict(list)
+        for (_, c), g in zip(able, groups, strict=True):
+            members[g].append(c)
+        names = {g: group_label(m, event) for g, m in members.items()}
+        out.update((i, FALLBACK[stance]) for i, _ in rows)
+        out.update((i, names[g]) for (i, _), g in zip(able, groups, strict=True))
     return out
 
 
