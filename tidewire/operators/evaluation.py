@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.functions.session import cut
+from tidewire.operators.clustering import ClusterConfig, cluster_window
 from tidewire.operators.graph import components
+from tidewire.operators.issues import previous_ids, succeed, votes, winners, with_sizes
+from tidewire.operators.vectors import cosine
 
 
 def _rate(hit: Column, among: Column) -> Column:
@@ -37,6 +41,20 @@ def adjusted_rand(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return x.select("n", F.round(F.when(most == expected, 1.0).otherwise((F.col("both") - expected) / (most - expected)), 6).alias("ari"))
 
 
+def labeler_agreement(labels: DataFrame) -> DataFrame:
+    """One row: pairs of labelers with two articles or more in common, and the mean of their adjusted Rand indices; null without any."""
+    x, y = labels.select("article_id", F.col("labeler").alias("la"), F.col("cluster").alias("ca")), labels.select("article_id", F.col("labeler").alias("lb"), F.col("cluster").alias("cb"))
+    cell = x.join(y, "article_id").where("la < lb").groupBy("la", "lb", "ca", "cb").agg(F.count("*").alias("n"))
+    c2 = F.sum(F.col("n") * (F.col("n") - 1) / 2)
+    by = ["la", "lb"]
+    both = cell.groupBy(*by).agg(c2.alias("both"), F.sum("n").alias("n")).where("n >= 2")
+    for side, name in (("ca", "ra"), ("cb", "rb")):
+        both = both.join(cell.groupBy(*by, side).agg(F.sum("n").alias("n")).groupBy(*by).agg(c2.alias(name)), by)
+    expected, most = F.col("ra") * F.col("rb") / (F.col("n") * (F.col("n") - 1) / 2), (F.col("ra") + F.col("rb")) / 2
+    ari = F.when(most == expected, 1.0).otherwise((F.col("both") - expected) / (most - expected))
+    return both.agg(F.count("*").alias("pairs"), F.round(F.avg(ari), 4).alias("ari"))
+
+
 def noise_as_singletons(rows: DataFrame, label: str, id_col: str) -> DataFrame:
     """``label`` as text, every noise row a cluster of its own."""
     return rows.withColumn(label, F.when(F.col(label) >= 0, F.col(label).cast("string")).otherwise(F.concat(F.lit("noise-"), F.col(id_col).cast("string"))))
@@ -89,6 +107,52 @@ def labeling_sheet(pairs: DataFrame, n: int, seed: int, bands: tuple[float, floa
     return part(F.col("sim") >= high, n // 2, "same").unionByName(part((F.col("sim") >= low) & (F.col("sim") < high), n // 4, "boundary")).unionByName(part(F.col("sim") < low, n // 4, "random"))
 
 
+def pair_labels(pairs: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(label_a, label_b, sim, same) of judged pairs (article_id_a, article_id_b, same) whose articles both have a label and a vector."""
+    one = labels.select("article_id", F.col("issue_local").alias("label")).join(vectors.select("article_id", "vector"), "article_id")
+    both = pairs.join(one.toDF("article_id_a", "label_a", "va"), "article_id_a").join(one.toDF("article_id_b", "label_b", "vb"), "article_id_b")
+    return both.select("label_a", "label_b", cosine(F.col("va"), F.col("vb")).alias("sim"), "same")
+
+
+def sweep(vectors: DataFrame, pairs: DataFrame, sizes: tuple[int, ...] = (3, 5, 8), neighbours: tuple[int, ...] = (15, 30, 50), reduce_fn=None) -> DataFrame:
+    """One row a setting (least cluster size, neighbours of the reducer): issues, noise, the largest issue, rates of judged pairs.
+
+    ``reduce_fn(neighbours)`` gives the reducer of that setting; without it the map does not depend on neighbours."""
+    out = None
+    for nn in neighbours:
+        for size in sizes:
+            config = ClusterConfig(min_cluster_size=size, neighbours=nn)
+            labels = cut(cluster_window(vectors, config, reduce_fn(nn) if reduce_fn else None))
+            n = labels.groupBy("issue_local").agg(F.count("*").alias("n"))
+            shape = n.agg(F.count(F.when(F.col("issue_local") >= 0, 1)).alias("issues"), F.coalesce(F.max(F.when(F.col("issue_local") < 0, F.col("n"))), F.lit(0)).alias("noise"), F.coalesce(F.max(F.when(F.col("issue_local") >= 0, F.col("n"))), F.lit(0)).alias("largest"))
+            rates = pair_strata(pair_labels(pairs, labels, vectors)).select("precision", "same_n", "oversplit_rate", "recall_in_sample")
+            row = shape.join(F.broadcast(rates)).select(F.lit(size).alias("min_cluster_size"), F.lit(nn).alias("neighbours"), "*")  # one row each
+            out = row if out is None else out.unionByName(row)
+    return out.orderBy(F.desc_nulls_last("recall_in_sample"), "min_cluster_size", "neighbours")
+
+
+def churn(vectors: DataFrame, cuts: list, config: ClusterConfig = ClusterConfig(), points_of=None) -> list[dict]:
+    """What each step of a window that fills up (rows with ``arrived_at`` before each cut) does to issue ids: issues, noise, ids created,
+    carried on by several issues (splits) and retired. ``points_of(rows)`` gives the points of a fixed map; else each step fits anew."""
+    log, own, top = [], None, -1
+    for step, until in enumerate(cuts):
+        rows = cut(vectors.where(F.col("arrived_at") < F.lit(until)))
+        labels = with_sizes(cluster_window(rows, config, points=points_of(rows) if points_of else None)).join(rows.select("article_id", "published_date"), "article_id")
+        labels = cut(labels)
+        won = cut(winners(votes(labels, previous_ids(None, own)))) if own is not None else None
+        ids = cut(succeed(labels, None, own, top))
+        issues = ids.select("issue_id", "issue_local").distinct()
+        created = issues.where(F.col("issue_id") > top).count()
+        log.append({
+            "step": step, "rows": rows.count(), "issues": issues.count(), "noise": labels.where("issue_local < 0").count(), "created": created,
+            "splits": 0 if won is None else won.groupBy("prev_id").count().where("count > 1").count(),
+            "retired": 0 if own is None else own.select("issue_id").distinct().join(issues, "issue_id", "left_anti").count(),
+        })
+        top = max(top, ids.agg(F.coalesce(F.max("issue_id"), F.lit(-1))).first()[0])
+        own = ids
+    return log
+
+
 def round_robin(rows: DataFrame, labelers: int, each: int = 3, place: str = "place") -> DataFrame:
     """``rows`` with ``labelers``: the ``each`` labelers of a row, in turn by its place."""
     return rows.withColumn("labelers", F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda k: F.pmod(F.col(place) + k, F.lit(labelers)) + 1))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import is_blank
+from tidewire.operators.keywords import STANCES
+from tidewire.operators.viewpoint_labels import MAX_LABEL
 
 
 def export_rows(quality: DataFrame, registry: DataFrame, gold: DataFrame, clean: DataFrame) -> DataFrame:
@@ -30,6 +32,28 @@ def reusable(current: DataFrame, previous: DataFrame) -> DataFrame:
     return both.select("issue_id", F.coalesce(same, F.lit(False)).alias("reuse"))
 
 
+def checked_rows(rows: DataFrame) -> DataFrame:
+    """Article rows of issues before enrichment: the needed columns must be there and ids be text and not null; a bad row fails the job."""
+    needed = {"issue_id", "article_id", "title", "content", "publisher_name"}
+    if missing := sorted(needed - set(rows.columns)):
+        raise ValueError(f"issue articles lack {missing}")
+    if rows.schema["article_id"].dataType.simpleString() != "string":
+        raise TypeError("article_id must be a string")
+    return rows.withColumn("article_id", F.when(F.col("article_id").isNotNull() & F.col("issue_id").isNotNull(), F.col("article_id")).otherwise(F.raise_error(F.lit("an issue's article has no id"))))
+
+
+def checked_views(views: DataFrame) -> DataFrame:
+    """Enriched articles: a known stance, a label of one to eight letters, a confidence from 0 to 1 or null; a bad row fails the job."""
+    c = F.col("stance_confidence")
+    fault = (
+        F.when(~F.coalesce(F.col("stance").isin(*STANCES), F.lit(False)), "stance is invalid")
+        .when(F.col("label").isNull() | is_blank(F.col("label")), "label is empty").when(F.length("label") > MAX_LABEL, f"label is longer than {MAX_LABEL} letters")
+        .when(c.isNotNull() & (F.isnan(c) | (c < 0) | (c > 1)), "stance_confidence is not from 0 to 1")
+    )
+    told = F.concat(F.col("article_id").cast("string"), F.lit(": "), fault)
+    return views.withColumn("stance", F.when(fault.isNull(), F.col("stance")).otherwise(F.raise_error(told)))
+
+
 def messages(issues: DataFrame, articles: DataFrame, zone: str = "Asia/Seoul") -> DataFrame:
     """One JSON text an issue: articles (issue_id, url, label, stance, published_at) nested in order of publication."""
     nested = articles.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("published_at", "url", "label", "stance"))).alias("a"))

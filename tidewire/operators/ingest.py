@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import id_verified, is_blank
@@ -67,9 +67,14 @@ def validate(records: DataFrame, record: str = "record") -> DataFrame:
     return out.select(*keep, *[F.try_to_timestamp(F.col("_published_at")).alias(n) if n == "published_at" else F.col(f"_{n}").alias(n) for n in FIELDS], "error")
 
 
-def first_in_batch(rows: DataFrame, order: str = "source_ref", key: str = "article_id") -> DataFrame:
-    """Of rows of one id the first by ``order``."""
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_r = 1").drop("_r")
+#: Order of records: files by name, then places in a file by number.
+SOURCE_ORDER = ("source_file", "source_place", "source_ref")
+
+
+def first_in_batch(rows: DataFrame, order: tuple[str, ...] = SOURCE_ORDER, key: str = "article_id") -> DataFrame:
+    """Of rows of one id the first by ``order``, as a pre-aggregated minimum: no window holds an id with very many rows."""
+    row = F.struct(*rows.columns)
+    return rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
 def gold_rows(valid: DataFrame) -> DataFrame:

@@ -32,6 +32,10 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
+def cosine(a: Column, b: Column) -> Column:
+    return dot(a, b) / (norm(a) * norm(b))
+
+
 def centroids(rows: DataFrame, group: str, vector: str = "vector") -> DataFrame:
     """(group, centroid): mean of the members' vectors, made a unit vector; groups with a zero mean are left out.
 
@@ -51,9 +55,9 @@ def nearest(points: DataFrame, cents: DataFrame, group: str, min_sim: float, id_
     blocks = max(1, -(-n // CENTROID_BLOCK)) if n * dim > BROADCAST_NUMBERS else 1
     packed = cents.withColumn("block", F.pmod(F.xxhash64(group), F.lit(blocks))).groupBy("block").agg(F.collect_list(F.struct(group, "centroid")).alias("cs"))
     best_of = lambda cs: F.aggregate(
-        F.array_sort(cs),
+        F.transform(F.array_sort(cs), lambda c: F.struct(dot(F.col(vector), c["centroid"]).alias("sim"), c[group].alias("g"))),
         F.struct(F.lit(float("-inf")).alias("sim"), F.lit(None).cast(cents.schema[group].dataType).alias("g")),
-        lambda a, c: F.when(dot(F.col(vector), c["centroid"]) > a["sim"], F.struct(dot(F.col(vector), c["centroid"]).alias("sim"), c[group].alias("g"))).otherwise(a),
+        lambda a, c: F.when(c["sim"] > a["sim"], c).otherwise(a),
     )
     if blocks == 1:
         both = points.select(id_col, vector).join(F.broadcast(packed.select("cs")))

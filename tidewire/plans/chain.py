@@ -16,17 +16,21 @@ from tidewire.operators import issues as S
 from tidewire.operators import keywords as W
 from tidewire.operators import vectors as V
 from tidewire.operators import viewpoints as P
+from tidewire.operators.fixed_map import MapStore, Reducer
 from tidewire.sources.records import read_records
 from tidewire.sources.tables import RunMarker, Table, export_lines, upsert, write_rejects
 
 
+EXPORT_STATE = "issue_id bigint, links array<string>, title string, category string, value string"
+
+
 class Chain:
     """Stages over one root folder and one inclusive window of dates; every stage may be called alone."""
 
     def __init__(self, spark: SparkSession, root: str, start: str, end: str):
         self.spark, self.root, self.start, self.end = spark, root, start, end
         t = lambda name: Table(spark, root, name)
-        self.articles, self.clean_t, self.dedup_t, self.embedding = t("articles"), t("clean"), t("dedup"), t("embedding")
+        self.articles, self.clean_t, self.dedup_t, self.dedup_sig, self.embedding = t("articles"), t("clean"), t("dedup"), t("dedup_sig"), t("embedding")
         self.issue, self.registry, self.quality, self.summary = t("issue"), t("issue_registry"), t("issue_quality"), t("issue_summary")
 
     def _in(self, table: Table) -> DataFrame:
@@ -51,9 +55,23 @@ class Chain:
         self.clean_t.write(C.clean(self._in(self.articles)).withColumn("cleaned_at", F.current_timestamp()))
 
     def fold(self, config: D.DedupConfig = D.DedupConfig()) -> None:
-        folded = D.fold(self._in(self.articles), self._in(self.clean_t), config)
+        folded = D.fold(self._in(self.articles), self._in(self.clean_t), config, sign=lambda docs: self._signatures(docs, config))
         self.dedup_t.write(self._window(self._dated(folded, "publisher_id")).withColumn("deduped_at", F.current_timestamp()))
 
+    def _signatures(self, docs: DataFrame, config: D.DedupConfig) -> DataFrame:
+        """Signatures of docs; those whose text and settings are the stored ones' are not worked out again."""
+        stored = cut(self._in(self.dedup_sig))
+        signed, fresh = D.refresh_signatures(docs, stored, config)
+        signed, fresh = cut(signed), cut(fresh)
+        if not fresh.isEmpty():
+            settings = {"shingle_size": config.shingle_size, "num_perm": config.num_perm, "seed": config.seed, "scheme": "char-grams"}
+            dated = fresh.join(self._in(self.articles).select("article_id", "published_date"), "article_id")
+            for name, value in settings.items():
+                dated = dated.withColumn(name, F.lit(value))
+            kept = stored.join(fresh.select("article_id"), "article_id", "left_anti")
+            self.dedup_sig.write(kept.unionByName(self.dedup_sig.conform(dated.withColumn("computed_at", F.current_timestamp()))))
+        return signed
+
     def embed(self, config: V.EncoderConfig = V.EncoderConfig(), encode_fn=V.hashed_grams) -> None:
         """Vectors of what is not folded; those whose input and model are the same stay as they are."""
         folded = self._in(self.dedup_t).where("duplicate_of is not null").select("article_id")
@@ -67,8 +85,13 @@ class Chain:
         kept = have.join(plan.where("action = 'keep'").select("article_id"), "article_id", "left_semi")
         self.embedding.write(kept.unionByName(fresh))
 
-    def cluster(self, config: K.ClusterConfig = K.ClusterConfig(), reduce_fn=None) -> None:
-        labels = K.cluster_window(self._in(self.embedding), config, reduce_fn)
+    def cluster(self, config: K.ClusterConfig = K.ClusterConfig(), reduce_fn=None, fixed: bool = True, reducer: Reducer = Reducer()) -> None:
+        """Issues of the window, on the window's fixed map (fitted only where there is none with these settings), or on one fitted anew."""
+        vectors = self._in(self.embedding)
+        points = None
+        if fixed and reduce_fn is None and config.dims and vectors.count() > config.dims:
+            points, _ = MapStore(self.spark, self.root, reducer).points(vectors, self.start, config.dims, neighbours=config.neighbours, seed=config.seed)
+        labels = K.cluster_window(vectors, config, reduce_fn, points)
         rows = S.with_sizes(labels).join(self._in(self.embedding).select("article_id", "publisher_id", "published_date"), "article_id")
         self.issue.write(self._window(rows).withColumn("clustered_at", F.current_timestamp()))
 
@@ -101,19 +124,33 @@ class Chain:
         out = S.summarize(self._in(self.quality), self._in(self.embedding), self._in(self.articles), registry, config)
         self.summary.write(self._window(out).withColumn("summarized_at", F.current_timestamp()), ("issue_local",))
 
-    def messages(self) -> DataFrame:
-        """One JSON message an issue: event name, facts, stance and viewpoint of its articles."""
-        rows = cut(O.export_rows(self._in(self.quality), self.registry.read(self.start, self.start), self._in(self.articles), self._in(self.clean_t)))
-        rows = cut(rows.withColumn("content", F.col("content_clean")).withColumn("publisher_name", F.col("publisher_id")))
+    def messages(self, previous: DataFrame | None = None) -> DataFrame:
+        """issue_id, links, title, category, value, reused: one JSON message an issue, with event name, facts, stance and viewpoint of
+        its articles. An issue whose links, title and category are those of ``previous`` keeps its message and is not enriched again."""
+        rows = O.export_rows(self._in(self.quality), self.registry.read(self.start, self.start), self._in(self.articles), self._in(self.clean_t))
+        rows = cut(O.checked_rows(rows.withColumn("content", F.col("content_clean")).withColumn("publisher_name", F.col("publisher_id"))))
         events = cut(W.central_titles(rows.select("issue_id", F.unix_micros("published_at").alias("place"), "title"), "issue_id"))
-        brief = facts.summaries(rows, "issue_id")
-        views = P.enrich(rows, events).select("article_id", "stance", "label")
         top = self.summary.read(self.start, self.start).select("issue_id", "category", F.col("summarized_at").alias("clustered_at"))
+        state = cut(O.links_of(rows).join(events.select("issue_id", "title"), "issue_id").join(top, "issue_id"))
+        old = state.sparkSession.createDataFrame([], EXPORT_STATE) if previous is None else previous
+        same = cut(O.reusable(state, old).where("reuse").select("issue_id"))
+        todo = rows.join(same, "issue_id", "left_anti")
+        views = O.checked_views(P.enrich(todo, events)).select("article_id", "stance", "label")
+        brief = facts.summaries(todo, "issue_id")
         issues = top.join(brief, "issue_id").select("issue_id", "category", F.array_join("facts", " ").alias("fact_summary"), F.col("facts").alias("briefing"), "clustered_at")
-        return O.messages(issues, rows.select("issue_id", "article_id", "url", "published_at").join(views, "article_id"))
-
-    def export(self, path: str, overwrite: bool = True) -> int:
-        return export_lines(self.messages(), path, overwrite=overwrite)
+        made = O.messages(issues, todo.select("issue_id", "article_id", "url", "published_at").join(views, "article_id")).withColumn("reused", F.lit(False))
+        kept = old.join(same, "issue_id", "left_semi").select("issue_id", "value", F.lit(True).alias("reused"))
+        return state.drop("clustered_at").join(made.unionByName(kept), "issue_id")
+
+    def export(self, path: str, overwrite: bool = True, reuse: bool = True) -> int:
+        """Messages as lines under ``path``; what they were made from is kept beside the tables for the next export."""
+        spark, states = self.spark, f"{self.root}/_export"
+        fs = (p := spark._jvm.org.apache.hadoop.fs.Path(states)).getFileSystem(spark._jsc.hadoopConfiguration())
+        old = spark.read.schema(EXPORT_STATE).parquet(states) if reuse and fs.exists(p) else None
+        made = cut(self.messages(old))
+        n = export_lines(made, path, overwrite=overwrite)
+        made.select("issue_id", "links", "title", "category", "value").write.mode("overwrite").option("compression", "zstd").parquet(states)
+        return n
 
 
 def run_chain(spark: SparkSession, root: str, start: str, end: str, paths: list[str] | None = None, mode: str = "recluster", export_path: str | None = None) -> dict:

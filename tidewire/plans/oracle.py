@@ -246,15 +246,18 @@ SELECT component, arg_min(id, (a.published_at, -length(a.content), id)) AS repre
     "url_dup_links": f"WITH {URLS} SELECT url, count(*) AS n FROM urls GROUP BY url HAVING count(*) > 1",
     "ing_validate": f"""WITH {RECORDS} SELECT doc_id, error, CASE WHEN k <> 4 THEN 'r' END AS author, source AS publisher_name, CASE WHEN k = 2 THEN '2024-01-01 00:00' ELSE '2023-12-31 23:30' END AS published FROM checked""",
     "ing_gold_rows": f"WITH {RECORDS} SELECT printf('a%09d', doc_id) AS article_id, '2023-12-31' AS published_date, length(text) AS content_len, false AS article_id_verified FROM checked WHERE error IS NULL",
-    "ing_batch_dedup": "SELECT user_id AS article_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1",
+    "ing_batch_dedup": "SELECT user_id AS article_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3, event_id) = 1",
     "ing_upsert_keep": f"WITH {HALVES} SELECT * FROM old UNION ALL SELECT * FROM new WHERE doc_id NOT IN (SELECT doc_id FROM old)",
     "ing_upsert_replace": f"WITH {HALVES} SELECT * FROM new UNION ALL SELECT * FROM old WHERE doc_id NOT IN (SELECT doc_id FROM new)",
     "ing_stats": f"""WITH {RECORDS} SELECT count(*) AS read, count(error) AS rejected, count(*) FILTER (error IS NULL) AS valid, CAST(0 AS BIGINT) AS batch_duplicates,
   count(*) FILTER (error IS NULL AND doc_id % 5 = 0) AS skipped, count(*) FILTER (error IS NULL AND doc_id % 5 <> 0) AS written FROM checked""",
-    "ing_window_scan": f"WITH {ARTICLES} SELECT published_date, count(*) AS n FROM articles WHERE published_date BETWEEN '2024-01-01' AND '2024-01-02' GROUP BY 1",
+    "ing_window_scan": "SELECT '2024-01-0' || (1 + doc_id % 10) AS published_date, count(*) AS n FROM documents WHERE doc_id % 10 IN (2, 3) GROUP BY 1",
     "cln_whitespace": f"WITH {ARTICLES} SELECT article_id, {SQUEEZED} AS text FROM articles",
     "cln_line_filter": f"WITH {ARTICLES} SELECT article_id, array_to_string([x FOR x IN string_split(content, chr(10)) IF NOT contains(x, '|')], chr(10)) AS text FROM articles",
     "cln_status": f"WITH {ARTICLES}, c AS (SELECT {SQUEEZED} AS t FROM articles) SELECT CASE WHEN t = '' THEN 'empty' WHEN length(t) < 100 THEN 'short' ELSE 'ok' END AS status, count(*) AS n FROM c GROUP BY 1",
+    "sen_turns": f"""WITH marked AS (SELECT conv_id, regexp_replace(regexp_replace(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '({ENDS})\\s+', '\\1' || chr(1), 'g'), '({ENDS})([가-힣])', '\\1' || chr(1) || '\\2', 'g') AS t FROM conversations),
+pieces AS (SELECT conv_id, unnest([x FOR x IN [trim(x, ' ' || chr(9) || chr(10) || chr(13)) FOR x IN regexp_split_to_array(t, '[\\n\\x01]+')] IF x <> '']) AS s FROM marked)
+SELECT conv_id, count(*) AS sentences FROM pieces GROUP BY conv_id""",
     "sen_split": f"WITH {SENTENCES} SELECT article_id, CAST(pos AS INTEGER) AS pos, sentence FROM sentences",
     "sen_quotes": f"""WITH {ARTICLES}, q AS (SELECT article_id, unnest(regexp_extract_all(content, '"[^"]+"|“[^”]+”')) AS q FROM articles) SELECT article_id, trim(substr(q, 2, length(q) - 2), ' ' || chr(10)) AS quote FROM q WHERE trim(substr(q, 2, length(q) - 2), ' ' || chr(10)) <> ''""",
     "sen_speech_type": f"""WITH {SENTENCES} SELECT CASE WHEN regexp_matches(sentence, '"[^"]*[^"\\s][^"]*"|“[^”]*[^”\\s][^”]*”') THEN 'direct_quote' WHEN {REPORTING} THEN 'reported_speech' ELSE 'none' END AS speech, count(*) AS n FROM sentences GROUP BY 1""",

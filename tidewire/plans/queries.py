@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions import text as X
+from tidewire.functions.session import shared_dir
 from tidewire.operators import clean as C
 from tidewire.operators import dedup as D
 from tidewire.operators import evaluation as E
@@ -21,7 +23,8 @@ from tidewire.operators import vectors as V
 from tidewire.operators.graph import components, star_groups
 from tidewire.plans import views
 from tidewire.plans.views import articles, issue, table
-from tidewire.sources.tables import upsert_rows
+from tidewire.sources import records as R
+from tidewire.sources.tables import Table, upsert_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -116,6 +119,12 @@ def dup_fold(spark, sf):
     return D.fold(articles(spark, sf).select("article_id", "content", "published_at"))
 
 
+@query
+def dup_fold_exact(spark, sf):
+    """The fold with candidates from the prefix filter: every pair that the thresholds allow."""
+    return D.fold(articles(spark, sf).select("article_id", "content", "published_at"), config=D.DedupConfig(candidates="exact"))
+
+
 @query
 def dup_minhash_signatures(spark, sf):
     return D.minhash_signatures(_survivors(spark, sf)).select("article_id", "text_sha1", "shingle_count", F.size("hashvalues").alias("hashes"))
@@ -128,13 +137,12 @@ def dup_banded_pairs(spark, sf):
 
 @query
 def dup_banded_recall(spark, sf):
-    """Pairs of banded buckets that exact Jaccard confirms, and its own."""
+    """Pairs at Jaccard 0.7, and whether the banded ones hold 99 % of them, pair by pair."""
     docs = _survivors(spark, sf)
     exact = D.jaccard_pairs(docs, 0.7).select("a", "b")
-    banded = components(D.banded_pairs(D.minhash_signatures(docs)))
-    c = banded.select(F.col("id").alias("a"), F.col("component").alias("ca")), banded.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    both = exact.join(c[0], "a", "left").join(c[1], "b", "left")
-    return both.agg(F.count("*").alias("exact"), F.count(F.when(F.col("ca") == F.col("cb"), 1)).alias("found"))
+    found = D.banded_pairs(D.minhash_signatures(docs)).withColumn("hit", F.lit(1))
+    both = exact.join(found, ["a", "b"], "left").agg(F.count("*").alias("exact"), F.count("hit").alias("found"))
+    return both.select("exact", (F.col("found") >= 0.99 * F.col("exact")).alias("enough"))
 
 
 # -- ingest --------------------------------------------------------------------------------------------------------
@@ -183,8 +191,15 @@ def ing_gold_rows(spark, sf):
 
 @query
 def ing_batch_dedup(spark, sf):
-    e = table(spark, sf, "events").select(F.col("user_id").alias("article_id"), "event_id", "event_type")
-    return I.first_in_batch(e, "event_id").select("article_id", "event_id", "event_type")
+    """Records written as lines of several files and read again: the first by file and line number stands."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    lines = e.select((F.col("event_id") % 3).cast("int").alias("part"), "event_id", F.to_json(F.struct("user_id", "event_id", "event_type")).alias("value"))
+    folder = f"{shared_dir(spark)}/ing-{uuid.uuid4().hex}"
+    lines.repartition("part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy("part").text(folder)
+    records = R.read_jsonl(spark, [folder], "*.txt").where("error is null")
+    got = records.select("source_ref", "source_file", "source_place", F.from_json("record", "user_id bigint, event_id bigint, event_type string").alias("r"))
+    rows = got.select(F.col("r.user_id").alias("article_id"), "r.event_id", "r.event_type", "source_ref", "source_file", "source_place")
+    return I.first_in_batch(rows).select("article_id", "event_id", "event_type")
 
 
 def _halves(spark, sf):
@@ -211,7 +226,11 @@ def ing_stats(spark, sf):
 
 @query
 def ing_window_scan(spark, sf):
-    return articles(spark, sf).where("published_date between '2024-01-01' and '2024-01-02'").groupBy("published_date").agg(F.count("*").alias("n"))
+    """Two days of ten, read from a stored table."""
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 10).cast("int")), "yyyy-MM-dd")
+    t = Table(spark, f"{shared_dir(spark)}/ing-{uuid.uuid4().hex}", "articles")
+    t.write(articles(spark, sf).withColumn("published_date", day))
+    return t.read("2024-01-03", "2024-01-04", ["published_date"]).groupBy("published_date").agg(F.count("*").alias("n"))
 
 
 # -- cleaning ------------------------------------------------------------------------------------------------------

@@ -18,18 +18,19 @@ def _bom(c):
 
 
 
-def read_jsonl(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """record (JSON text), source_ref (file:line), error: one row a line that is not blank; a bad line is an error, not a failure.
+def read_jsonl(spark: SparkSession, paths: list[str], names: str = "*.{jsonl,ndjson}") -> DataFrame:
+    """record (JSON text), source_ref (file:line), source_file, source_place (line number), error: one row a line that is not
+    blank; a bad line is an error, not a failure.
 
     Files are split as usual; a line's number is its place in its split plus the lines of the splits before, which are
     summed in a window of one row a split."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jsonl,ndjson}").text(paths)
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(paths)
     placed = lines.select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
     splits = placed.groupBy("f", "b").agg(F.min("i").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = placed.join(splits.select("f", "b", (before - F.col("first") + 1).alias("shift")), ["f", "b"])
     rows = rows.select("f", (F.col("i") + F.col("shift")).alias("n"), trim_unicode(_bom(F.col("value"))).alias("s")).where("s <> ''")
-    return _parsed(rows.select("s", F.concat(_path("f"), F.lit(":"), F.col("n").cast("string")).alias("source_ref")), "JSON line is not an object")
+    return _parsed(rows.select("s", F.concat(_path("f"), F.lit(":"), F.col("n").cast("string")).alias("source_ref"), _path("f").alias("source_file"), F.col("n").alias("source_place")), "JSON line is not an object")
 
 
 def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -40,9 +41,9 @@ def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     kind = F.when(~ok, "bad").when(F.col("s").startswith("["), "array").when(F.col("s").startswith("{"), "object").otherwise("other")
     one = one.withColumn("kind", kind)
     items = one.where("kind = 'array'").select("f", F.posexplode(F.from_json("s", "array<string>")).alias("i", "item"))
-    items = _parsed(items.select(F.col("item").alias("s"), F.concat(_path("f"), F.lit("["), F.col("i").cast("string"), F.lit("]")).alias("source_ref")), "array item is not an object")
+    items = _parsed(items.select(F.col("item").alias("s"), F.concat(_path("f"), F.lit("["), F.col("i").cast("string"), F.lit("]")).alias("source_ref"), _path("f").alias("source_file"), F.col("i").cast("long").alias("source_place")), "array item is not an object")
     rest = one.where("kind <> 'array'").select(
-        F.when(F.col("kind") == "object", F.col("s")).alias("record"), _path("f").alias("source_ref"),
+        F.when(F.col("kind") == "object", F.col("s")).alias("record"), _path("f").alias("source_ref"), _path("f").alias("source_file"), F.lit(0).cast("long").alias("source_place"),
         F.when(F.col("kind") == "bad", "invalid JSON").when(F.col("kind") == "other", "top-level JSON is neither object nor array").alias("error"),
     )
     return items.unionByName(rest)
@@ -56,7 +57,7 @@ def _parsed(rows: DataFrame, not_object: str) -> DataFrame:
     """s -> record or error."""
     ok = F.coalesce(F.try_parse_json("s").isNotNull(), F.lit(False))
     is_object = ok & F.col("s").startswith("{")
-    return rows.select(F.when(is_object, F.col("s")).alias("record"), "source_ref", F.when(~ok, "invalid JSON").when(~is_object, not_object).alias("error"))
+    return rows.select(F.when(is_object, F.col("s")).alias("record"), "source_ref", "source_file", "source_place", F.when(~ok, "invalid JSON").when(~is_object, not_object).alias("error"))
 
 
 def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:

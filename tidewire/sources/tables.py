@@ -21,6 +21,8 @@ SCHEMAS = {
     "issue_quality": "article_id string, publisher_id string, published_date string, issue_local int, issue_size int, structured boolean, rescued boolean, rescue_sim float, window_start string, window_end string, qualified_at timestamp",
     "issue_summary": "window_start string, window_end string, issue_local int, issue_id bigint, issue_size int, publishers int, structured boolean, category string, representative string, first_published_at timestamp, last_published_at timestamp, hot_score float, summarized_at timestamp",
 }
+#: Rows of one task, and file, when a partition is written.
+ROWS_PER_FILE = 1_000_000
 BY_WINDOW = ("issue_registry", "issue_summary")
 
 
@@ -77,7 +79,13 @@ class Table:
         rows.write.option("compression", "zstd").parquet(stage)
         staged = self.spark.read.schema(self.ddl).parquet(stage)
         keys = [k for k in sort if k in cols]
-        dealt = staged.repartition(F.col(self.key)).sortWithinPartitions(self.key, *keys)
+        # one number a partition that is written: large ones are dealt over several tasks and files
+        files = {r[0]: -(-r["count"] // ROWS_PER_FILE) for r in staged.groupBy(self.key).count().collect()}
+        if not files:
+            return self._drop(stage)
+        of = F.try_element_at(F.create_map(*[F.lit(x) for kv in files.items() for x in kv]), F.col(self.key)) if max(files.values()) > 1 else F.lit(1)
+        share = F.pmod(F.xxhash64(*[c for c in keys if c in cols] or cols[:1]), F.coalesce(of, F.lit(1)))
+        dealt = staged.repartition(F.col(self.key), share).sortWithinPartitions(self.key, *keys)
         dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(self.key).parquet(self.path)
         self._drop(stage)
 
@@ -137,11 +145,10 @@ def write_rejects(rejects: DataFrame, path: str) -> bool:
 
 
 def export_lines(messages: DataFrame, path: str, column: str = "value", overwrite: bool = False, dry_run: bool = False) -> int:
-    """JSON lines into a folder that appears at once: written beside it, then renamed; an existing one is an error unless
-    ``overwrite``."""
-    n = messages.count()
+    """JSON lines into a folder that appears at once: written beside it and counted there, then renamed; an existing one is an error
+    unless ``overwrite``, and stands aside until the new one is in place."""
     if dry_run:
-        return n
+        return messages.count()
     spark = messages.sparkSession
     Path = spark._jvm.org.apache.hadoop.fs.Path
     final, temp = Path(path), Path(f"{path}.tmp-{uuid.uuid4().hex}")
@@ -150,9 +157,12 @@ def export_lines(messages: DataFrame, path: str, column: str = "value", overwrit
         raise FileExistsError(path)
     try:
         messages.select(column).write.text(temp.toString())
+        n = spark.read.text(temp.toString()).count()
+        aside = Path(f"{path}.old-{uuid.uuid4().hex}")
         if fs.exists(final):
-            fs.delete(final, True)
+            fs.rename(final, aside)
         fs.rename(temp, final)
+        fs.delete(aside, True)
     finally:
         fs.delete(temp, True)
     return n
