@@ -131,18 +131,25 @@ def _same_bad(above: np.ndarray, rule: int, cutoff: float) -> bool:
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_FIELDS = [*((c, pa.int64()) for c in COUNTS), ("severity", pa.list_(pa.float64()))]
-_DDL = ", ".join(f"{c} long" for c in COUNTS) + ", severity array<double>"
+_FIELDS = [*((c, pa.int64()) for c in COUNTS), ("severity", pa.list_(pa.float64())), ("copy_keys", pa.list_(pa.int64()))]
+_DDL = ", ".join(f"{c} long" for c in COUNTS) + ", severity array<double>, copy_keys array<long>"
+
+
+def copy_keys(text: str) -> np.ndarray | None:
+    """Minima of COPY_KEYS orders of the text's shingles; none without words."""
+    s = shingles(text)
+    return (s[:, None] * MUL[:COPY_KEYS] + ADD[:COPY_KEYS]).min(axis=0).view(np.int64) if len(s) else None
 
 
 def with_measures(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of docs with counts and severities; the text is read whole."""
+    """The columns ``keep`` of docs with counts, severities and copy keys; the text is read whole, once."""
     src = docs.select(*keep, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold_caches("quality")
+        hold_caches("quality", forget)
         for b in batches:
-            rows = [measure(t.as_py() or "") for t in b.column(len(keep))]
+            texts = [t.as_py() or "" for t in b.column(len(keep))]
+            rows = [(*measure(t), copy_keys(t)) for t in texts]
             cols = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_FIELDS)]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *cols], names=[*keep, *(n for n, _ in _FIELDS)])
 
@@ -154,35 +161,16 @@ def stratum(column: str = "lang"):
     return F.coalesce(F.col(column), F.lit("∅"))
 
 
-def copy_keys(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """doc_id, copy_keys: minima of COPY_KEYS orders of the text's shingles; null without words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold_caches("quality", forget)
-        for b in batches:
-            keys = [(s[:, None] * MUL[:COPY_KEYS] + ADD[:COPY_KEYS]).min(axis=0).view(np.int64) if len(s := shingles(t.as_py() or "")) else None for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "copy_keys"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, copy_keys array<long>")
-
-
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that have a quality label."""
-    return docs.join(labels.where("quality is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-
-
-def cutoffs(measured: DataFrame, labels: DataFrame, keys: DataFrame | None = None, strata_col: str = "lang") -> DataFrame:
-    """stratum, cut (array of RULES' cutoffs), from measured documents (doc_id, lang, counts, severity), labels (doc_id, quality)
-    and ``copy_keys`` of the labelled ones.
+def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", strata_col: str = "lang") -> DataFrame:
+    """stratum, cut (array of RULES' cutoffs), from documents with measures and labels (doc_id, quality).
 
     What reaches a task is a stratum's histogram, of a fixed size at most."""
     good = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_good"))
-    lab = measured.where(~_base_failed()).select("doc_id", stratum(strata_col).alias("stratum"), "severity").join(good, "doc_id").dropDuplicates(["doc_id"])
-    if keys is not None:
-        lab = lab.join(keys.where("copy_keys is not null").groupBy("doc_id").agg(F.min("copy_keys").alias("copy_keys")), "doc_id")
-        for k in range(COPY_KEYS):
-            lab = lab.groupBy("stratum", F.col("copy_keys")[k].alias("_key")).agg(F.min_by(F.struct("doc_id", "severity", "_good", "copy_keys"), "doc_id").alias("x")).select("stratum", "x.*")
-        lab = cut(lab)
+    able = measured.where(~_base_failed()).select(F.col(id_col).alias("doc_id"), stratum(strata_col).alias("stratum"), "severity", "copy_keys")
+    lab = able.join(good, "doc_id").dropDuplicates(["doc_id"])
+    for k in range(COPY_KEYS):
+        lab = lab.groupBy("stratum", F.col("copy_keys")[k].alias("_key")).agg(F.min_by(F.struct("doc_id", "severity", "_good", "copy_keys"), "doc_id").alias("x")).select("stratum", "x.*")
+    lab = cut(lab)
     held = (fold("doc_id", 2) == 0).cast("int")
     hist = (
         lab.select("stratum", held.alias("held"), F.col("_good").cast("long").alias("_good"), F.posexplode("severity").alias("rule", "s"))
@@ -222,5 +210,4 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text")
     measured = cut(with_measures(docs, ["doc_id", "lang"]))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    chosen = cutoffs(measured, labels, copy_keys(labelled(docs, labels)))
-    return judged(measured, chosen).select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+    return judged(measured, cutoffs(measured, labels)).select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
