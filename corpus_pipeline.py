@@ -20,7 +20,7 @@ from tidewire.llm.common import cut, drop_folder, shared_dir, spread
 from tidewire.llm.minhash import BROADCAST_IDS, near_duplicates
 from tidewire.llm.packing import pack, pieces
 from tidewire.llm.pii import redact_text
-from tidewire.llm.quality import copy_keys, cutoffs, judged, labelled, with_measures
+from tidewire.llm.quality import cutoffs, judged, with_measures
 from tidewire.llm.toxicity import train, with_score
 
 #: Models that SQL cannot train stand in the first two stages; the pipeline is tested against a brute-force version.
@@ -45,11 +45,13 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base limits or a cutoff of their language go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    docs = spread(docs)
-    known = labelled(docs, labels)
-    chosen = cutoffs(with_measures(known, ["doc_id", "lang"]), labels, copy_keys(known))
-    whole = with_measures(docs.select(F.struct(*docs.columns).alias("_row")), ["_row"], "_row.text")
-    return judged(whole, chosen, "_row.lang").where("kept").select("_row.*")
+    # measured once: rows and measures are written together, and the cutoffs read the measures only
+    measured = with_measures(spread(docs).select(F.struct(*docs.columns).alias("_row")), ["_row"], "_row.text")
+    path = f"{shared_dir(spark)}/quality-{uuid.uuid4().hex}"
+    measured.write.option("compression", "zstd").parquet(path)
+    measured = spark.read.schema(measured.schema).parquet(path)
+    chosen = cutoffs(measured, labels, "_row.doc_id", "_row.lang")
+    return judged(measured, chosen, "_row.lang").where("kept").select("_row.*")
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
