@@ -40,13 +40,16 @@ def validate(records: DataFrame, record: str = "record") -> DataFrame:
 
     Errors are ``field: message``, joined by '; ' in field order. Texts are kept as they are, blank optional ones
     become null, timestamps need an offset."""
-    # one parse a record; a map of raw values tells a missing key from a null
-    out, errors = records.withColumn("_raw", F.from_json(record, "map<string,variant>")), []
+    # one parse a record, one look-up, one type and one text a field, each a projection of its own so that none is worked out twice;
+    # a map of raw values tells a missing key from a null
+    out = records.withColumn("_raw", F.from_json(record, "map<string,variant>"))
+    found = {name: _field(F.col("_raw"), name) for name in FIELDS}
+    out = out.withColumns({f"_v_{n}": v for n, (v, _) in found.items()} | {f"_h_{n}": h for n, (_, h) in found.items()})
+    out = out.withColumns({f"_k_{n}": F.schema_of_variant(f"_v_{n}") for n in FIELDS} | {f"_t_{n}": F.variant_get(f"_v_{n}", "$", "string") for n in FIELDS})
+    errors, texts = [], {}
     for name in FIELDS:
-        value, has = _field(F.col("_raw"), name)
-        kind = F.schema_of_variant(value)
-        text = F.variant_get(value, "$", "string")
-        is_text, is_null = kind == "STRING", F.is_variant_null(value) | value.isNull()
+        has, text, kind = F.col(f"_h_{name}"), F.col(f"_t_{name}"), F.col(f"_k_{name}")
+        is_text, is_null = kind == "STRING", kind.isNull() | (kind == "VOID")
         if name in OPTIONAL:
             bad = F.when(has & ~is_null & ~is_text, "must be a string or null")
             shown = F.when(is_text & ~is_blank(text), text)
@@ -59,8 +62,9 @@ def validate(records: DataFrame, record: str = "record") -> DataFrame:
         else:
             bad = F.when(~has, "field required").when(~F.coalesce(is_text, F.lit(False)), "must be a string").when(is_blank(text), "must not be empty")
             shown = text
-        out = out.withColumn(f"_{name}", F.when(has, shown))
+        texts[f"_{name}"] = F.when(has, shown)
         errors.append(F.when(bad.isNotNull(), F.concat(F.lit(f"{name}: "), bad)))
+    out = out.withColumns(texts)
     found = F.array_join(F.filter(F.array(*errors), lambda e: e.isNotNull()), "; ")
     out = out.withColumn("error", F.when(found != "", found))
     keep = [c for c in records.columns if c not in FIELDS and c != "error"]
