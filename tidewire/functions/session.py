@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,3 +34,17 @@ def spread(df: DataFrame) -> DataFrame:
     """A scan with fewer partitions than cores is dealt out once; larger inputs keep their splits."""
     want = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+
+
+#: Keys with more rows than HEAVY_ROWS, and more than this share of all, are broadcast with their counts: 1 / HEAVY_SHARE of them at most.
+HEAVY_ROWS, HEAVY_SHARE = 1000, 1e-5
+
+
+def join_counts(rows: DataFrame, counts: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the ``count`` of their key. Frequent keys meet their count by a broadcast of bounded size, so no task gets all
+    rows of one; the others by a shuffle. ``rows`` is read twice and should be cut."""
+    total = counts.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    heavy = F.col(count) > max(HEAVY_ROWS, math.ceil(total * HEAVY_SHARE))
+    both = rows.join(F.broadcast(counts.where(heavy)), key, "left")
+    met, rest = both.where(F.col(count).isNotNull()), both.where(F.col(count).isNull()).drop(count)
+    return met.unionByName(rest.join(counts.where(~heavy), key))
