@@ -85,9 +85,11 @@ def _rows(n: int, **cols) -> pa.RecordBatch:
 
 def _pairs(tokens: np.ndarray, length: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct context * words + word, sorted, and each token's place there; documents begin after an end token."""
-    before = np.roll(tokens, 1)
-    before[np.cumsum(length) - length] = tokens[-1]  # every document ends with the end token
-    return np.unique(before * words + tokens, return_inverse=True)
+    key = np.roll(tokens, 1).astype(np.int64)
+    key[np.cumsum(length) - length] = tokens[-1]  # every document ends with the end token
+    key *= words
+    key += tokens
+    return np.unique(key, return_inverse=True)
 
 
 class Block:
@@ -105,8 +107,8 @@ class Block:
         for w in words:
             if w not in number:
                 number[w] = len(number)
-        ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        self.parts.append(np.append(ids, 0))
+        ids = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+        self.parts.append(np.append(ids, np.int32(0)))
         held = doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == TEST_FOLD
         self.docs.append((doc_id, held))
         self.size += len(words) + 1
@@ -124,7 +126,8 @@ class Block:
         rank[order] = np.arange(len(w))
         w, part = w[order], part[order]
         length = np.array([len(p) for p in self.parts])
-        tokens = rank[np.concatenate(self.parts)]
+        tokens = rank.astype(np.int32)[np.concatenate(self.parts)]
+        self.parts.clear()
         training = np.repeat(np.array([not h for _, h in self.docs]), length)
         pairs, at = _pairs(tokens, length, len(w))
         count = np.bincount(at[training], minlength=len(pairs)).astype(np.uint32)
@@ -369,7 +372,7 @@ def _scorer(tokens: int, vocabulary: int, root_totals: list[tuple[float, float]]
         ids = np.concatenate([unpack(r["a"], np.int64) for r in rows["doc"]])
         flags = np.concatenate([unpack(r["b"], np.uint8) for r in rows["doc"]])
         length = np.concatenate([unpack(r["c"], np.uint32) for r in rows["doc"]]).astype(np.int64)
-        text = np.concatenate([unpack(r["d"], np.uint32) for r in rows["doc"]]).astype(np.int64)
+        text = np.concatenate([unpack(r["d"], np.uint32) for r in rows["doc"]]).astype(np.int32)
         roots = sorted(rows["root"], key=lambda r: r["x"])
         c = np.concatenate([unpack(r["a"], np.int64) for r in roots])
         words = len(c)
