@@ -4,7 +4,7 @@
 sequences of at most ``capacity`` tokens.  Packing runs over shards of bounded size: each shard is packed
 best-fit-decreasing, then a local search over the underfull bins moves a document, swaps one for one or two
 for one (one of either side, two of the other) whenever that raises the sum of squared fills, until nothing improves,
-or until there are no more bins than a lower bound proves necessary.  All underfull bins and all documents in them
+until there are no more bins than a lower bound proves necessary, or for ``STEPS`` steps, the same in every shard.  All underfull bins and all documents in them
 take part; documents of one length are interchangeable, so a bin counts by its distinct lengths.  Bins with hardly any room
 close; what lies in the others is dealt into the next round's shards, which are fewer, until one shard is left.  A
 round that does not halve the tokens left lets bins with four times the room close from then on.
@@ -36,8 +36,8 @@ SHARD_TOKENS = 4_000_000
 #: Pieces that one packing shard holds at most about, for inputs of very short texts.
 SHARD_PIECES = 50_000
 END_ID = 1
-#: Exchanges that are compared in one step of array work.
-COMPARED = 1_000_000
+#: Exchanges that are compared in one step of array work; bins that the search of a shard, any shard, works on.
+COMPARED, STEPS = 1_000_000, 1000
 KEYS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -242,18 +242,18 @@ class Bins:
             yield from sorted(self.room[free])
             mask ^= 1 << free
 
-    def _move(self, b: int, i: int) -> bool:
-        """Move i to the tightest other bin that takes it and is, with it, fuller than b is now."""
+    def _move(self, b: int, i: int) -> int | None:
+        """Move i to the tightest other bin that takes it and is, with it, fuller than b is now; that bin."""
         n = self.length[i]
         self._lift(b)
         free = self.least_room(n)
         to = next(iter(self.room[free])) if free is not None else None
         self._place(b)
         if to is None or self.fill[to] + n <= self.fill[b]:
-            return False
+            return None
         self.change(b, (i,), ())
         self.change(to, (), (i,))
-        return True
+        return to
 
     def _sums(self, b: int) -> tuple[np.ndarray, np.ndarray]:
         """What one document of b may measure, and what two may, each size once."""
@@ -276,13 +276,13 @@ class Bins:
             by_size.setdefault(n, i)
         raise LookupError(size)
 
-    def _swap(self, b: int) -> bool:
-        """Give one or two of b to a fuller bin c for one or two of c's (not two for two), so that c gains most and stays within capacity.
+    def _best(self, b: int, others: list[int]) -> tuple[int, int, int, bool, int, bool]:
+        """Of exchanges of one or two of b for one or two of a bin of ``others`` (not two for two) the one by which that bin gains most
+        within its capacity: gain, bin, size that b gives, whether of two, size that it gets back, whether of two.
 
-        c is at least as full as b, so whatever c gains raises the sum of squares. Bins come by free space, which no gain exceeds."""
+        Bins come by free space, which no gain exceeds."""
         one, two = self._sums(b)
         best = (0, -1, 0, False, 0, False)
-        others = [c for c in self._emptiest() if c != b and self.fill[c] >= self.fill[b]]
         at = 0
         while at < len(others) and self.capacity - self.fill[others[at]] > best[0]:
             first, size = at, 0
@@ -304,27 +304,41 @@ class Bins:
                     if gain.flat[k] > best[0]:
                         i, j = divmod(k, len(flat))
                         best = (int(gain.flat[k]), some[owner[j]], int(give[i]), give_two, int(flat[j]), back_two)
-        gain, c, out, out_two, into, into_two = best
+        return best
+
+    def _swap(self, b: int) -> set[int]:
+        """Make the best exchange with a bin at least as full as b: whatever that gains raises the sum of squares. The bins changed."""
+        gain, c, out, out_two, into, into_two = self._best(b, [c for c in self._emptiest() if c != b and self.fill[c] >= self.fill[b]])
         if not gain:
-            return False
+            return set()
         out, into = self._pick(b, out, out_two), self._pick(c, into, into_two)
         self.change(b, out, into)
         self.change(c, into, out)
-        return True
-
-    def improve(self, least: int = 0) -> None:
-        """Work on the emptiest bin: empty it into the others by moves and exchanges, until nothing improves or ``least`` bins are left.
-
-        Each step raises the sum of squared fills, so it ends."""
+        return {b, c}
+
+    def _frees(self, b: int, changed: set[int]) -> bool:
+        """Whether b, for which nothing improved, may now give something to one of the bins that have changed."""
+        to = sorted((c for c in changed if c != b and self.items[c] and self.capacity > self.fill[c] >= self.fill[b]), key=lambda c: self.fill[c])
+        least = int(self._sums(b)[0][0])
+        return any(self.capacity - self.fill[c] >= least for c in to) or (bool(to) and self._best(b, to)[0] > 0)
+
+    def improve(self, least: int = 0, steps: int = STEPS) -> None:
+        """Work on the emptiest bin: empty it into the others by moves and exchanges, until nothing improves, ``least`` bins are left or
+        ``steps`` bins have been worked on. Each change raises the sum of squared fills. A bin for which nothing improves is taken
+        up again only when one of the bins that have changed since can take something of it."""
         used, stuck = sum(1 for x in self.items if x), set()
-        while used > least:
-            b = next((b for b in self._emptiest() if b not in stuck), None)
+        for _ in range(steps):
+            b = next((b for b in self._emptiest() if b not in stuck), None) if used > least else None
             if b is None:
                 return
-            moved = any([self._move(b, i) for i in sorted(self.items[b], key=lambda i: (-self.length[i], i))])
+            changed = set()
+            for i in sorted(self.items[b], key=lambda i: (-self.length[i], i)):
+                to = self._move(b, i)
+                changed |= {b, to} if to is not None else set()
             used -= not self.items[b]
-            if moved or self._swap(b):
-                stuck.clear()
+            changed = changed or self._swap(b)
+            if changed:
+                stuck = {x for x in stuck - changed if not self._frees(x, changed)}
             else:
                 stuck.add(b)
 
