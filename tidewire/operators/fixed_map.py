@@ -14,7 +14,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Model = dict[str, list]
 POINTERS = ("current",)
