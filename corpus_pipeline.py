@@ -45,13 +45,13 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base limits or a cutoff of their language go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    # measured once: rows and measures are written together, and the cutoffs read the measures only
-    measured = with_measures(spread(docs).select(F.struct(*docs.columns).alias("_row")), ["_row"], "_row.text")
-    path = f"{shared_dir(spark)}/quality-{uuid.uuid4().hex}"
-    measured.write.option("compression", "zstd").parquet(path)
-    measured = spark.read.schema(measured.schema).parquet(path)
-    chosen = cutoffs(measured, labels, "_row.doc_id", "_row.lang")
-    return judged(measured, chosen, "_row.lang").where("kept").select("_row.*")
+    docs = spread(docs)
+    ids = cut(labels.where("quality is not null and doc_id is not null").select("doc_id").distinct())
+    few = ids.count() <= BROADCAST_IDS
+    known = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    chosen = cutoffs(with_measures(known, ["doc_id", "lang"]), labels)
+    whole = with_measures(docs.select(F.struct(*docs.columns).alias("_row")), ["_row"], "_row.text")
+    return judged(whole, chosen, "_row.lang").where("kept").select("_row.*")
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
