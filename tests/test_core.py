@@ -302,3 +302,18 @@ def test_vectors(spark):
     assert [r.g for r in c.collect()] == [0]  # the mean of opposite vectors is zero
     near = {r.article_id: (r.g, round(r.sim, 4)) for r in V.nearest(df, c, "g", 0.5).collect()}
     assert near == {"a": (0, 0.7071), "b": (0, 0.7071), "d": (0, 0.7071)}
+
+
+def test_percentiles_hold_no_values_in_one_task(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidewire.operators import evaluation as E
+
+    monkeypatch.setattr(E, "FEW", 50)
+    monkeypatch.setattr(E, "BINS", 16)
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0.25)).otherwise(F.pmod(F.xxhash64("id"), F.lit(10007)) / 10007.0 - 0.5).alias("sim"))
+    for share in (0.0, 0.1, 0.5, 0.77, 0.9, 1.0):
+        assert abs(E.exact_percentile(rows, "sim", share) - rows.agg(F.percentile("sim", F.lit(share))).first()[0]) < 1e-12
+    assert E.exact_percentile(rows.where("sim > 9"), "sim", 0.1) is None
+    plan = E.separation(rows, rows)._jdf.queryExecution().toString()
+    assert "percentile" not in plan
