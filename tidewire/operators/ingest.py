@@ -88,7 +88,13 @@ def gold_rows(valid: DataFrame) -> DataFrame:
 
 def ingest_stats(checked: DataFrame, existing: DataFrame) -> DataFrame:
     """One row: read, rejected, valid, repeated in the batch, known already, to write."""
-    ids = checked.where("error is null").groupBy("article_id").agg(F.count("*").alias("n"))
-    both = ids.join(existing.select("article_id").distinct().withColumn("known", F.lit(1)), "article_id", "left")
-    kept = both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("valid"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("batch_duplicates"), F.count("known").alias("skipped"), F.count(F.when(F.col("known").isNull(), 1)).alias("written"))
-    return checked.agg(F.count("*").alias("read"), F.count("error").alias("rejected")).join(F.broadcast(kept))  # one row each
+    # records are checked once: those with errors are one group, without an id
+    valid = F.col("error").isNull()
+    ids = checked.groupBy(F.when(valid, F.col("article_id")).alias("article_id")).agg(F.count("*").alias("n"), F.count("error").alias("bad"))
+    both = ids.join(existing.select("article_id").distinct().withColumn("known", F.lit(1)), "article_id", "left").withColumn("good", F.col("n") - F.col("bad"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    own = F.col("article_id").isNotNull()
+    return both.agg(
+        total("n").alias("read"), total("bad").alias("rejected"), total("good").alias("valid"), total(F.when(own, F.col("good") - 1)).alias("batch_duplicates"),
+        F.count("known").alias("skipped"), F.count(F.when(own & F.col("known").isNull(), 1)).alias("written"),
+    )
