@@ -317,3 +317,43 @@ def test_percentiles_hold_no_values_in_one_task(spark, monkeypatch):
     assert E.exact_percentile(rows.where("sim > 9"), "sim", 0.1) is None
     plan = E.separation(rows, rows)._jdf.queryExecution().toString()
     assert "percentile" not in plan
+
+
+def test_facts_of_many_articles_in_linear_time():
+    import time
+
+    from tidewire.operators import facts
+
+    rows = [{"article_id": f"a{i}", "content": "국회는 간호법 제정안을 본회의에서 처리했다.", "publisher_name": f"p{i % 3}"} for i in range(20_000)]
+    at = time.process_time()
+    found = facts.merged(facts.issue_evidence(rows + rows[:50]))
+    assert len(found) == 1 and len(found[0]["sources"]) == 20_000 and time.process_time() - at < 8
+
+
+def test_ingest_stats_check_records_once(spark):
+    import json
+
+    from tidewire.operators import ingest as I
+
+    good = {n: "2024-01-01T00:00:00Z" if n == "published_at" else "RSS" if n == "source_type" else "x" for n in I.FIELDS}
+    records = [json.dumps(good | {"article_id": i}) for i in ("a", "a", "b", "c")] + ["{}", json.dumps(good | {"title": " "})]
+    checked = I.validate(spark.createDataFrame([(r,) for r in records], "record string"))
+    stats = I.ingest_stats(checked, spark.createDataFrame([("b",), ("z",)], "article_id string"))
+    assert tuple(stats.first()) == (6, 2, 4, 1, 1, 2)
+    assert stats._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2  # records and known ids, once each
+    assert tuple(I.ingest_stats(checked.limit(0), spark.createDataFrame([], "article_id string")).first()) == (0, 0, 0, 0, 0, 0)
+
+
+def test_long_rows_are_dealt_over_files(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidewire.sources import tables as T
+
+    monkeypatch.setattr(T, "LETTERS_PER_FILE", 20_000, raising=False)
+    rows = spark.range(100).select(F.col("id").cast("string").alias("article_id"), F.repeat(F.lit("x"), 1000).alias("content"), F.lit("2024-01-01").alias("published_date"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        T.Table(spark, str(tmp_path), "articles").write(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list(tmp_path.rglob("published_date=*/*.parquet"))) > 1 and T.Table(spark, str(tmp_path), "articles").read().count() == 100

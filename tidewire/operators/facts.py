@@ -95,14 +95,17 @@ def merged(evidence: list[dict]) -> list[dict]:
     norm, nums = [normalize(e["sentence"]) for e in evidence], [numbers(e["sentence"]) for e in evidence]
     cos = gram_matrix(norm)
     groups: list[tuple[int, dict]] = []
+    known: dict[int, set] = {}
     for i, e in enumerate(evidence):
         fits = lambda k, i=i: same_fact(norm[i], norm[k], cos[i, k]) and not (nums[i] and nums[k] and nums[i] != nums[k])
-        home = next((g for k, g in groups if fits(k)), None)
+        home = next(((k, g) for k, g in groups if fits(k)), None)
         if home is None:
             groups.append((i, {"sentence": e["sentence"], "sources": list(e["sources"])}))
+            known[i] = {s["article_id"] for s in e["sources"]}
         else:
-            known = {s["article_id"] for s in home["sources"]}
-            home["sources"] += [s for s in e["sources"] if s["article_id"] not in known]
+            ids = known[home[0]]
+            home[1]["sources"] += [s for s in e["sources"] if s["article_id"] not in ids]
+            ids |= {s["article_id"] for s in e["sources"]}
     return [g for _, g in groups]
 
 
@@ -119,10 +122,12 @@ def common_facts(evidence: list[dict], limit: int | None = None) -> list[dict]:
 def issue_evidence(articles: list[dict]) -> list[dict]:
     """Distinct sentences in order of first sight, each with its distinct articles."""
     out: dict[str, dict] = {}
+    seen: dict[str, set] = {}
     for a in articles:
         for s in split(a["content"]):
-            e = out.setdefault(s, {"sentence": s, "sources": []})
-            if a["article_id"] not in {x["article_id"] for x in e["sources"]}:
+            e, ids = out.setdefault(s, {"sentence": s, "sources": []}), seen.setdefault(s, set())
+            if a["article_id"] not in ids:
+                ids.add(a["article_id"])
                 e["sources"].append({"article_id": a["article_id"], "publisher_name": a["publisher_name"]})
     return list(out.values())
 
