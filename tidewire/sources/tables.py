@@ -23,6 +23,8 @@ SCHEMAS = {
 }
 #: Rows of one task, and file, when a partition is written.
 ROWS_PER_FILE = 1_000_000
+#: Letters of one task, and file, when a partition is written.
+LETTERS_PER_FILE = 128_000_000
 BY_WINDOW = ("issue_registry", "issue_summary")
 
 
@@ -80,7 +82,9 @@ class Table:
         staged = self.spark.read.schema(self.ddl).parquet(stage)
         keys = [k for k in sort if k in cols]
         # one number a partition that is written: large ones are dealt over several tasks and files
-        files = {r[0]: -(-r["count"] // ROWS_PER_FILE) for r in staged.groupBy(self.key).count().collect()}
+        letters = sum((F.coalesce(F.length(f.name), F.lit(0)) for f in staged.schema if f.dataType.simpleString() == "string"), F.lit(0))
+        found = staged.groupBy(self.key).agg(F.count("*").alias("rows"), F.sum(letters.cast("long")).alias("letters")).collect()
+        files = {r[0]: max(-(-r["rows"] // ROWS_PER_FILE), -(-r["letters"] // LETTERS_PER_FILE)) for r in found}
         if not files:
             return self._drop(stage)
         of = F.try_element_at(F.create_map(*[F.lit(x) for kv in files.items() for x in kv]), F.col(self.key)) if max(files.values()) > 1 else F.lit(1)
