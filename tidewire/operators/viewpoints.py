@@ -20,6 +20,8 @@ from tidewire.operators.viewpoint_labels import act, claim, feeling, for_compari
 MAX_GROUPS, ONE_GROUP, SAME_REASON, DIM = 3, 0.55, 0.75, 256
 #: Letters of a claim that count when claims say equally much.
 CLAIM_CHARS = 60
+#: Texts that are compared with all others at a time.
+BLOCK = 512
 
 # Labels of articles without evidence.
 FALLBACK = {"positive": "기타 긍정 관점", "neutral": "기타 중립 관점", "negative": "기타 부정 관점"}
@@ -32,15 +34,28 @@ def split_by_similarity(texts: list[str], encode_fn: Encoder, most: int) -> list
     are split by k-means and silhouette."""
     if len(texts) < 2 or most < 2:
         return [0] * len(texts)
-    vectors = encode_fn(texts, DIM)
-    near = (vectors @ vectors.T)[np.triu_indices(len(texts), 1)] >= ONE_GROUP
+    said = list(dict.fromkeys(texts))
+    vectors, place = encode_fn(said, DIM), {t: k for k, t in enumerate(said)}
+    at = np.array([place[t] for t in texts])
+    near = _all_near(vectors, np.bincount(at))
     if len(texts) > 2:
-        return [0] * len(texts) if near.all() else best_split(vectors.astype(np.float64), most).tolist()
+        return [0] * len(texts) if near else best_split(vectors[at].astype(np.float64), most).tolist()
     reasons = [r for t in texts if (r := reason(t))]
-    if near.all() and len(reasons) == 2:
+    if near and len(reasons) == 2:
         x = encode_fn(reasons, DIM)
-        near = np.array([x[0] @ x[1] >= SAME_REASON])
-    return [0, 0] if near.all() else [0, 1]
+        near = x[0] @ x[1] >= SAME_REASON
+    return [0, 0] if near else [0, 1]
+
+
+def _all_near(vectors: np.ndarray, times: np.ndarray) -> bool:
+    """Whether all pairs of different texts, and of a text that comes several times, are similar enough."""
+    for lo in range(0, len(vectors), BLOCK):
+        near = vectors[lo : lo + BLOCK] @ vectors.T >= ONE_GROUP
+        own = np.arange(len(near))
+        near[own, lo + own] |= times[lo : lo + BLOCK] < 2
+        if not near.all():
+            return False
+    return True
 
 
 def group_claims(contents: list[str], encode_fn: Encoder = hashed_grams, most: int = MAX_GROUPS, event: str = "") -> list[int]:
@@ -59,10 +74,17 @@ def group_claims(contents: list[str], encode_fn: Encoder = hashed_grams, most: i
         for i, g in zip(loose, split_by_similarity([texts[i] for i in loose], encode_fn, most - len(kinds)), strict=True):
             out[i] = len(kinds) + g
     elif loose:
-        known = [i for i, g in enumerate(out) if g >= 0]
-        vectors = encode_fn(texts, DIM)
-        for i, at in zip(loose, (vectors[loose] @ vectors[known].T).argmax(axis=1), strict=True):
-            out[i] = out[known[at]]
+        first: dict[str, int] = {}
+        for t, g in zip(texts, out, strict=True):
+            if g >= 0:
+                first.setdefault(t, g)
+        known, groups, free = encode_fn(list(first), DIM), list(first.values()), list(dict.fromkeys(texts[i] for i in loose))
+        nearest = {}
+        for lo in range(0, len(free), BLOCK):
+            part = free[lo : lo + BLOCK]
+            nearest.update(zip(part, (encode_fn(part, DIM) @ known.T).argmax(axis=1), strict=True))
+        for i in loose:
+            out[i] = groups[nearest[texts[i]]]
     return out
 
 
