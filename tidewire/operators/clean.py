@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import clean_rules as R
+from tidewire.functions.session import small_batches
 from tidewire.functions.text import trim_unicode
 
 OK, SHORT, EMPTY = "ok", "short", "empty"
@@ -127,6 +128,7 @@ def clean(articles: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame
             out["removed_chars"] = [len(raw or "") - len(t) for raw, (t, _) in zip(pdf["content"], done, strict=True)]
             yield out
 
+    small_batches(articles.sparkSession)
     src = articles.select("article_id", "publisher_id", "published_date", "content")
     out = src.mapInPandas(run, "article_id string, publisher_id string, published_date string, content_clean string, rules_applied array<string>, removed_chars int")
     return out.select(

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.session import cut, shared_dir
+from tidewire.functions.session import cut, shared_dir, small_batches
 from tidewire.operators import clean as C
 from tidewire.operators import clustering as L
 from tidewire.operators import evaluation as E
@@ -244,6 +244,7 @@ SELECT publisher_id, (SELECT title FROM named x LEFT JOIN c USING (publisher_id,
 @query
 def cln_squeeze(spark, sf):
     """White space of every document, by the Python step that cleaning uses, beside the column form."""
+    small_batches(spark)
     d = articles(spark, sf).select("article_id", "content")
 
     def run(batches):
